@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +61,7 @@ def split_rows(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE
     """Cut batches so that each holds about `most` bytes of text, or one row if that row is longer."""
     for batch in batches:
         at = batch.schema.get_field_index(column)
-        lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(at)), 0), dtype=np.int64)
+        lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(at)), 0), dtype=np.int64)
         total, first = 0, 0
         for row, size in enumerate(lengths.tolist()):
             if total and total + size > most:
@@ -73,7 +74,7 @@ def split_rows(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE
 
 def flat_text(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts one after another, and the offset of each text (one more than there are texts). Null counts as empty."""
-    array = pa.compute.fill_null(array.cast(pa.large_string()), "")
+    array = pc.fill_null(array.cast(pa.large_string()), "")
     offsets = np.frombuffer(array.buffers()[1], np.int64)[array.offset : array.offset + len(array) + 1]
     if not len(offsets):
         offsets = np.zeros(1, np.int64)
@@ -82,12 +83,12 @@ def flat_text(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and text number of each run of bytes other than white space; no word crosses two texts."""
+def word_spans(raw: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = WORD_BREAK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of each run of bytes outside `breaks` (white space); no word crosses two texts."""
     if not len(raw):
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~WORD_BREAK[raw]
+    inside = ~breaks[raw]
     edge = np.zeros(len(raw) + 1, bool)
     edge[offsets] = True
     before = np.empty(len(raw), bool)

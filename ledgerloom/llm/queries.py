@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from . import langid, quality_fm, sentencepiece_codec, simhash, toxicity
+from .common import fold, table
 from .mixing import mix_sources
 from .quality_rules import robust_outliers
 
@@ -14,11 +15,42 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3)
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_fm.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.predict(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return robust_outliers(table(spark, sf_dir, "documents")).drop("x0", "x1", "x2", "x3", "x4")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op8_quality_rules)}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "flagged")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_mix_sources, op2_sentencepiece, op3_simhash, op5_quality_classifier, op7_language_id, op8_quality_rules, op9_toxicity,
+)}
 
 ORACLE_SQL = {
     "op1_mix_sources": """
