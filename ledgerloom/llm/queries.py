@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality_fm, sentencepiece_codec, simhash, toxicity
+from . import html_extract, langid, quality_fm, sentencepiece_codec, simhash, toxicity
 from .common import fold, table
 from .mixing import mix_sources
 from .quality_rules import robust_outliers
@@ -48,8 +48,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "flagged")
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_sentencepiece, op3_simhash, op5_quality_classifier, op7_language_id, op8_quality_rules, op9_toxicity,
+    op10_html_extract,
 )}
 
 ORACLE_SQL = {
