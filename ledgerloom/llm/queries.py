@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, langid, quality_fm, sentencepiece_codec, simhash, toxicity
+from . import html_extract, langid, nn_descent, quality_fm, sentencepiece_codec, simhash, suffix_dedup, toxicity
 from .common import fold, table
 from .mixing import mix_sources
 from .quality_rules import robust_outliers
@@ -29,11 +29,19 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3)
 
 
+def op4_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_fm.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.apply(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.predict(table(spark, sf_dir, "documents"))
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
@@ -53,7 +61,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_sentencepiece, op3_simhash, op5_quality_classifier, op7_language_id, op8_quality_rules, op9_toxicity,
+    op1_mix_sources, op2_sentencepiece, op3_simhash, op4_embedding_duplicates, op5_quality_classifier, op6_repeated_passages, op7_language_id, op8_quality_rules, op9_toxicity,
     op10_html_extract,
 )}
 
