@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: White space that separates words: [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\x0c\r"
@@ -48,6 +49,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def schema_with(df: DataFrame, keep: tuple[str, ...], more: str) -> StructType:
+    """The schema of df's `keep` columns followed by the columns that the DDL text `more` names."""
+    return StructType([*df.select(*keep).schema.fields, *StructType.fromDDL(more).fields])
+
+
 def fold(column: str, modulus: int) -> Column:
     """crc32 of an integer column's decimal text, modulo modulus; a null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(modulus).cast("long"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, split_rows
+from .common import fold, schema_with, split_rows
 
 LETTER = re.compile(r"[^\W\d_]")
 NO_LETTERS = re.compile(r"[\W\d_]+")
@@ -88,7 +88,6 @@ def identify(docs: DataFrame, data: dict[str, bytes], keep: tuple[str, ...] = ("
     """docs' `keep` columns with lang_pred, score and rejected."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(data)  # bounded by dictionary_bytes times most_languages
-    kept = docs.select(*keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = None
@@ -99,7 +98,7 @@ def identify(docs: DataFrame, data: dict[str, bytes], keep: tuple[str, ...] = ("
             columns |= {"lang_pred": pa.array([x[0] for x in found], pa.string()), "score": pa.array([x[1] for x in found], pa.float64())}
             yield pa.RecordBatch.from_pydict(columns | {"rejected": pa.array([x[0] == "und" or x[1] < least for x in found], pa.bool_())})
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields), "lang_pred string", "score double", "rejected boolean"])
+    schema = schema_with(docs, keep, "lang_pred string, score double, rejected boolean")
     return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
 
 

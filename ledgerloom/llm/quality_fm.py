@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample, split_rows
+from .common import labelled_sample, schema_with, split_rows
 from .hashed_text import SLOT_BITS, Vocabulary, platt, sigmoid, statistics, words
 
 
@@ -122,7 +122,6 @@ def train(texts: pa.Array, meta: np.ndarray, label: np.ndarray) -> Factorisation
 def score(docs: DataFrame, model: FactorisationMachine, metadata: str = "n_chars", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """docs' `keep` columns with score; metadata is a numeric column of the document, its nulls count as average."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the words of the bounded sample
-    kept = docs.select(*keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in split_rows(batches, "_text"):
@@ -130,7 +129,7 @@ def score(docs: DataFrame, model: FactorisationMachine, metadata: str = "n_chars
             meta = batch.column("_meta").to_numpy(zero_copy_only=False).astype(float)
             yield pa.RecordBatch.from_pydict(columns | {"score": pa.array(shared.value.score(batch.column("_text"), meta), pa.float64())})
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields), "score double"])
+    schema = schema_with(docs, keep, "score double")
     return docs.select(*keep, F.col("text").alias("_text"), F.col(metadata).cast("double").alias("_meta")).mapInArrow(run, schema)
 
 

@@ -23,9 +23,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import split_rows
+from .common import schema_with, split_rows
 
 MARK = "▁"
 MARKED_WORD = re.compile(f"[ {MARK}]([ {MARK}]*[^ {MARK}]*)")
@@ -99,7 +99,7 @@ class Codec:
         return self.model.decode(ids, num_threads=1) if ids else []
 
 
-def _with_codec(df: DataFrame, path: str, schema: str, column: str, row: Callable[[Codec, pa.RecordBatch], dict[str, pa.Array]]) -> DataFrame:
+def _with_codec(df: DataFrame, path: str, schema: StructType, column: str, row: Callable[[Codec, pa.RecordBatch], dict[str, pa.Array]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = None
         for batch in split_rows(batches, column) if column == "text" else batches:
@@ -115,39 +115,36 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
 
 def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """docs' `keep` columns with ids (array of int) and n_tokens."""
-    kept = docs.select(*keep)
 
     def row(codec: Codec, batch: pa.RecordBatch) -> dict[str, pa.Array]:
         ids, _ = codec.encode(_texts(batch))
         return {c: batch.column(c) for c in keep} | {"ids": pa.array(ids, pa.list_(pa.int32())), "n_tokens": pa.array([len(x) for x in ids], pa.int64())}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return _with_codec(docs.select(*keep, F.col("text").alias("text")), path, f"{schema}, ids array<int>, n_tokens bigint", "text", row)
+    return _with_codec(docs.select(*keep, "text"), path, schema_with(docs, keep, "ids array<int>, n_tokens bigint"), "text", row)
 
 
 def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """encoded's `keep` columns with text, decoded from ids."""
-    kept = encoded.select(*keep)
 
     def row(codec: Codec, batch: pa.RecordBatch) -> dict[str, pa.Array]:
         ids = [x or [] for x in batch.column("ids").to_pylist()]
         return {c: batch.column(c) for c in keep} | {"text": pa.array(codec.decode(ids), pa.string())}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return _with_codec(encoded.select(*keep, "ids"), path, f"{schema}, text string", "ids", row)
+    return _with_codec(encoded.select(*keep, "ids"), path, schema_with(encoded, keep, "text string"), "ids", row)
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): each text encoded and decoded again, in one pass without a shuffle."""
+def digests(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
+    """docs' `keep` columns with n_tokens, ids_sha256 and decoded_sha256 (and ids): texts encoded and decoded again in one pass without a shuffle."""
 
     def row(codec: Codec, batch: pa.RecordBatch) -> dict[str, pa.Array]:
         ids, names = codec.encode(_texts(batch))
         sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
-        return {
-            "doc_id": batch.column("doc_id"),
+        made = {
             "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
             "ids_sha256": pa.array(map(sha, names), pa.string()),
             "decoded_sha256": pa.array(map(sha, codec.decode(ids)), pa.string()),
         }
+        return {c: batch.column(c) for c in keep} | made | ({"ids": pa.array(ids, pa.list_(pa.int32()))} if with_ids else {})
 
-    return _with_codec(docs.select("doc_id", "text"), path, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string", "text", row)
+    more = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return _with_codec(docs.select(*keep, "text"), path, schema_with(docs, keep, more), "text", row)

@@ -220,5 +220,5 @@ def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
 
 def one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:
     """docs without the documents whose component has a smaller doc_id; rows that repeat a doc_id go too."""
-    kept = near_duplicates(docs, width).where(F.col("doc_id").eqNullSafe(F.col("component_id")) | F.col("doc_id").isNull()).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id"])
+    kept = near_duplicates(docs, width).where(F.col("doc_id").eqNullSafe(F.col("component_id")) | F.col("doc_id").isNull()).select(F.col("doc_id").alias("_first_of_group")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_first_of_group")), "left_semi").dropDuplicates(["doc_id"])

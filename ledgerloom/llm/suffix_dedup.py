@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat_text, split_rows, stored, text_or_empty
+from .common import flat_text, schema_with, split_rows, stored, text_or_empty
 
 LENGTH = 400
 GRAM = 64
@@ -264,7 +264,6 @@ def apply(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), length: int = LE
     whole = text_or_empty()
     left = docs.select(*keep, whole.alias("_text"), F.unhex(F.md5(whole.cast("binary"))).alias("_key"))
     info = spans(docs, length).select(F.col("key").alias("_k"), F.col("n").alias("_n"), F.col("spans").alias("_spans"))
-    kept = docs.select(*keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in split_rows(batches, "_text"):
@@ -283,5 +282,5 @@ def apply(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), length: int = LE
             made = {c: pa.array(v, t) for (c, v), t in zip(columns.items(), types, strict=True)}
             yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in keep} | made)
 
-    fields = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields), "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string"]
-    return left.join(info, F.col("_key") == F.col("_k"), "left").select(*keep, "_text", "_n", "_spans").mapInArrow(run, ", ".join(fields))
+    schema = schema_with(docs, keep, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
+    return left.join(info, F.col("_key") == F.col("_k"), "left").select(*keep, "_text", "_n", "_spans").mapInArrow(run, schema)
