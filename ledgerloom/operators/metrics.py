@@ -29,7 +29,7 @@ def average_precision(scored: DataFrame, digits: int = 4) -> DataFrame:
     """One row (ap): mean precision over the positives, at the end of each score; 0 without positives."""
     down = Window.partitionBy(F.lit(0)).orderBy(F.desc("score"))
     rows = by_score(scored, digits).withColumn("hits", F.sum("pos").over(down)).withColumn("seen", F.sum("n").over(down))
-    return rows.agg((F.sum(F.col("pos") * F.col("hits") / F.col("seen")) / F.sum("pos")).alias("ap")).select(F.coalesce("ap", F.lit(0.0)).alias("ap"))
+    return rows.agg(F.try_divide(F.sum(F.col("pos") * F.col("hits") / F.col("seen")), F.sum("pos")).alias("ap")).select(F.coalesce("ap", F.lit(0.0)).alias("ap"))
 
 
 def threshold_sweep(scored: DataFrame, steps: int = 20, digits: int = 4) -> DataFrame:

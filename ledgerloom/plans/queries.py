@@ -128,7 +128,7 @@ _PUB_SQL = "array_to_string(list_filter(list_transform(list_filter(string_split(
 
 @query(f"""with s as (select s_suppkey, s_nationkey, {_PUB_SQL.format(c="n_name || ' Publishing Co. & Sons of ' || s_name")} as house from supplier join nation on s_nationkey = n_nationkey),
  alias as (select {_PUB_SQL.format(c="'The ' || n_name || ' Press'")} as alias, n_name as canonical from nation)
-select s_suppkey, house, canonical, case when canonical is not null then 95.0 else 0.0 end as floor_score from s left join alias on starts_with(house, alias) and string_split(house, ' ')[1] = string_split(alias, ' ')[1]""")
+select s_suppkey, house, canonical, (case when canonical is not null then 95.0 else 0.0 end)::double as floor_score from s left join alias on starts_with(house, alias) and string_split(house, ' ')[1] = string_split(alias, ' ')[1]""")
 def publisher_normalize(spark, d):
     nation = table(spark, d, "nation")
     named = table(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
