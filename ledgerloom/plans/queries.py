@@ -34,6 +34,15 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def documents(spark: SparkSession, d: str) -> DataFrame:
+    """The documents, dealt out over all cores where they lie in fewer files than there are cores.
+
+    Normalising text is bound by CPU, and a file of one row group is one task. Larger inputs have more splits than cores and are left as they are.
+    """
+    docs, cores = table(spark, d, "documents"), spark.sparkContext.defaultParallelism
+    return docs.repartition(cores) if len(docs.inputFiles()) < cores else docs
+
+
 def six(c: Column) -> Column:
     return F.round(c.cast("double"), 6)
 
@@ -60,12 +69,12 @@ def map_sql(table_: dict[str, object]) -> str:
 
 @query(f"select doc_id, {norm_sql('text')} as norm, len({tok_sql('text')})::bigint as n_tokens from documents")
 def normalize_text_docs(spark, d):
-    return table(spark, d, "documents").select("doc_id", T.normalize_text(F.col("text")).alias("norm"), F.size(T.tokenize(F.col("text"))).cast("long").alias("n_tokens"))
+    return documents(spark, d).select("doc_id", T.normalize_text(F.col("text")).alias("norm"), F.size(T.tokenize(F.col("text"))).cast("long").alias("n_tokens"))
 
 
 @query(f"select doc_id, array_to_string(list_sort(list_filter(list_distinct({tok_sql('text')}), lambda t: not list_contains({STOP_SQL}, t))), ' ') as keys from documents")
 def token_keys_docs(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.array_join(F.sort_array(T.token_keys(F.col("text"))), " ").alias("keys"))
+    return documents(spark, d).select("doc_id", F.array_join(F.sort_array(T.token_keys(F.col("text"))), " ").alias("keys"))
 
 
 @query(f"select turn, role, array_to_string(list_sort(list_distinct({tok_sql('text')})), ' ') as value_key, count(*) as n from conversations group by all")
@@ -225,7 +234,7 @@ CUT = 0.05
 
 
 def _doc_tokens(spark, d) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", "lang", T.token_keys(F.col("text")).alias("tokens"))
+    return documents(spark, d).select("doc_id", "lang", T.token_keys(F.col("text")).alias("tokens"))
 
 
 def _item_tokens(spark, d) -> DataFrame:
@@ -244,7 +253,7 @@ def idf_by_language(spark, d):
 
 @query(f"with {_DT}, s as (select doc_id, lower(source) as token from documents), p as (select 'title' as field, token, doc_id from dt union all select 'publisher', token, doc_id from s) select field, count(*) as postings, count(distinct token) as tokens, count(distinct doc_id) as records from p group by field")
 def postings_stats(spark, d):
-    docs = table(spark, d, "documents")
+    docs = documents(spark, d)
     rows = retrieval.postings(docs, {"title": T.token_keys(F.col("text")), "publisher": T.tokenize(F.col("source"))}, "doc_id")
     return rows.groupBy("field").agg(F.count(F.lit(1)).alias("postings"), F.countDistinct("token").alias("tokens"), F.countDistinct("doc_id").alias("records"))
 
