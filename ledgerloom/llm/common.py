@@ -112,16 +112,28 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+#: Bytes of words that are hashed in one go.
+HASH_BYTES = 1 << 19
+
+
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, A-Z folded to a-z."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+    """A 64-bit hash of each word's bytes, A-Z folded to a-z; memory is bounded by HASH_BYTES or the longest word."""
+    out = np.zeros(len(starts), np.uint64)
+    upto = np.cumsum(ends - starts)
+    at = 0
+    while at < len(starts):
+        stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + HASH_BYTES, side="right")))
+        out[at:stop] = _hashed(raw, starts[at:stop], ends[at:stop])
+        at = stop
+    return out
+
+
+def _hashed(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     sizes = ends - starts
     places = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     letters = LOWER[raw[np.repeat(starts, sizes) + places]].astype(np.uint64) + np.uint64(1)
     power = np.cumprod(np.full(int(sizes.max()), 0x9E3779B97F4A7C15, np.uint64))
-    sums = np.add.reduceat(letters * power[places], np.cumsum(sizes) - sizes)
-    return _mixed(sums)
+    return _mixed(np.add.reduceat(letters * power[places], np.cumsum(sizes) - sizes))
 
 
 def labelled_sample(docs: DataFrame, target: Column, folds: int, held: int, most: int) -> DataFrame:

@@ -34,10 +34,14 @@ class Vocabulary:
 
     @classmethod
     def of(cls, texts: pa.Array, least: int = 3, forms: bool = False) -> Vocabulary:
-        slots, docs = (lambda s, d: (s.ravel(), np.repeat(d, s.shape[1])))(*word_forms(texts)) if forms else words(texts)[:2]
-        pairs = np.unique(docs * (1 << SLOT_BITS) + slots)
-        found, n = np.unique(pairs & ((1 << SLOT_BITS) - 1), return_counts=True)
-        return cls(found[n >= least])
+        slots, docs = word_forms(texts) if forms else words(texts)[:2]
+        n, step = np.zeros(1 << SLOT_BITS, np.int32), 500
+        bounds = np.searchsorted(docs, np.arange(0, len(texts) + step, step))
+        for first, end in zip(bounds, bounds[1:], strict=False):  # some texts at a time, so that memory stays small
+            part = slots[first:end].reshape(end - first, -1)
+            pairs = np.unique(np.repeat(docs[first:end], part.shape[1]) * (1 << SLOT_BITS) + part.ravel())
+            np.add.at(n, pairs & ((1 << SLOT_BITS) - 1), 1)
+        return cls(np.flatnonzero(n >= least))
 
     def __len__(self) -> int:
         return len(self.slots) + 1
@@ -63,7 +67,7 @@ def word_forms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Per run of letters, in order, the hash slots of the run and of its prefixes; and its text number."""
     raw, offsets = flat_text(texts)
     starts, ends, docs = word_spans(raw, offsets, NO_LETTER)
-    slot = lambda h: (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    slot = lambda h: (h >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
     prefix = lambda k: word_hashes(raw, starts, np.minimum(ends, starts + k)) * np.uint64(2 * k + 1)
     return np.column_stack([slot(word_hashes(raw, starts, ends)), *(slot(prefix(k)) for k in PREFIXES)]), docs
 
