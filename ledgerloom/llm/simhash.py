@@ -216,9 +216,3 @@ def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
     of = distinct.join(groups, F.col("rep") == F.col("node"), "left").select(F.col("fp").alias("_fp"), F.coalesce("component", "rep").alias("component_id"))
     text = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return rows.join(of, F.col("fp") == F.col("_fp")).select("doc_id", text, "component_id")
-
-
-def one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:
-    """docs without the documents whose component has a smaller doc_id; rows that repeat a doc_id go too."""
-    kept = near_duplicates(docs, width).where(F.col("doc_id").eqNullSafe(F.col("component_id")) | F.col("doc_id").isNull()).select(F.col("doc_id").alias("_first_of_group")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_first_of_group")), "left_semi").dropDuplicates(["doc_id"])
