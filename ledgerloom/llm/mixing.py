@@ -75,10 +75,10 @@ def _running(df: DataFrame, value: str, out: str) -> DataFrame:
     return joined.withColumn(out, F.col("_base") + F.sum(value).over(inner)).drop("_s", "_c1", "_c2", "_base")
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3) -> DataFrame:
-    """(doc_id, source, size, source_size, target, rate, copies, taken) for each row of docs (doc_id, source, text)."""
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, source, size, source_size, target, rate, copies, taken) and the columns `keep` for each row of docs (doc_id, source, text)."""
     size = F.size(words_of(text_or_empty())).cast("long")
-    rows = stored(docs.select("doc_id", "source", size.alias("size")), "mix-sizes")
+    rows = stored(docs.select("doc_id", "source", size.alias("size"), *keep), "mix-sizes")
     plan = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     plan = plan.withColumn("rate", tilt(F.col("source_size").cast("double"), F.col("target")))
     plan = stored(plan.withColumn("units", F.round(F.col("rate") * UNIT).cast("long")), "mix-plan")
@@ -98,4 +98,4 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int
     df = _running(df.withColumn("_open", F.when(open_, F.col("size")).otherwise(F.lit(0).cast("long"))), "_open", "_sum")
     turn = open_ & (F.col("_sum") <= F.abs("short"))
     df = df.withColumn("copies", F.col("base") + F.when(turn, wanted).otherwise(F.col("extra")))
-    return df.select("doc_id", "source", "size", "source_size", "target", "rate", F.col("copies").cast("long").alias("copies"), (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+    return df.select("doc_id", "source", "size", "source_size", "target", "rate", F.col("copies").cast("long").alias("copies"), (F.col("copies") * F.col("size")).cast("long").alias("taken"), *keep)
