@@ -583,14 +583,16 @@ def budget_scaled(spark, d):
 # Similarity by UDF ----------------------------------------------------------------------------------------------------------------
 
 
-def _name_pairs(spark, d) -> DataFrame:
-    """Customers and suppliers of one nation whose numbers agree in their last digit, with words and weights of both names."""
+def _name_pairs(spark, d, score: Callable[[], Column]) -> DataFrame:
+    """(c_custkey, s_suppkey, score) of all customers and suppliers of one nation; each distinct pair of names is scored once."""
     name = lambda c, prefix: F.concat(F.lit(prefix), F.element_at(F.split(c, "#"), 1), F.lit(" "), F.col("n_name"))
     nation = table(spark, d, "nation")
-    a = table(spark, d, "customer").where("c_custkey % 10 = 1").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_nationkey", T.tokenize(name(F.col("c_name"), "J ")).alias("a"))
+    a = table(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_nationkey", T.tokenize(name(F.col("c_name"), "J ")).alias("a"))
     b = table(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_nationkey", T.tokenize(name(F.col("s_name"), "John ")).alias("b"))
     weigh = lambda c: F.transform(c, lambda t: F.length(t).cast("double"))
-    return a.join(b, "n_nationkey").withColumn("wa", weigh(F.col("a"))).withColumn("wb", weigh(F.col("b")))
+    names = a.select("n_nationkey", "a").distinct().join(b.select("n_nationkey", "b").distinct(), "n_nationkey").withColumn("wa", weigh(F.col("a"))).withColumn("wb", weigh(F.col("b")))
+    scored = names.select("n_nationkey", "a", "b", six(score()).alias("score"))
+    return a.join(scored, ["n_nationkey", "a"]).join(b, ["n_nationkey", "b"]).select("c_custkey", "s_suppkey", "score")
 
 
 @query()
@@ -608,13 +610,13 @@ def fuzzy_title_score(spark, d):
 
 @query()
 def author_score(spark, d):
-    return _name_pairs(spark, d).select("c_custkey", "s_suppkey", six(similarity.author_udf("a", "wa", "b", "wb", F.lit(10.0))).alias("score"))
+    return _name_pairs(spark, d, lambda: similarity.author_udf("a", "wa", "b", "wb", F.lit(10.0)))
 
 
 @query()
 def publisher_score(spark, d):
-    score = similarity.publisher_udf("a", "wa", "b", "wb", F.lit(10.0))
-    return _name_pairs(spark, d).select("c_custkey", "s_suppkey", six(similarity.alias_floor(score, F.element_at("a", -1), F.element_at("b", -1))).alias("score"))
+    score = lambda: similarity.publisher_udf("a", "wa", "b", "wb", F.lit(10.0))
+    return _name_pairs(spark, d, lambda: similarity.alias_floor(score(), F.element_at("a", -1), F.element_at("b", -1)))
 
 
 @query()
