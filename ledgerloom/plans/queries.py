@@ -599,8 +599,7 @@ def _name_pairs(spark, d, score: Callable[[], Column]) -> DataFrame:
 def fuzzy_title_score(spark, d):
     weights = retrieval.idf(_doc_tokens(spark, d)).select("token", "idf")
     top = _top(spark, d).select("item_id", "doc_id")
-    first = lambda c: F.slice(T.tokenize(c), 1, 12)
-    rows = top.join(table(spark, d, "benchmark").select("item_id", first(F.col("text")).alias("a")), "item_id").join(table(spark, d, "documents").select("doc_id", first(F.col("text")).alias("b")), "doc_id")
+    rows = top.join(table(spark, d, "benchmark").select("item_id", T.tokenize(F.col("text")).alias("a")), "item_id").join(table(spark, d, "documents").select("doc_id", T.tokenize(F.col("text")).alias("b")), "doc_id")
     words = rows.select("item_id", "doc_id", F.explode(F.array_union("a", "b")).alias("token")).join(weights, "token", "left")
     tables = words.groupBy("item_id", "doc_id").agg(F.map_from_entries(F.collect_list(F.struct("token", F.coalesce("idf", F.lit(10.0))))).alias("w"))
     rows = rows.join(tables, ["item_id", "doc_id"])

@@ -1,3 +1,6 @@
+import random
+
+from ledgerloom.operators import similarity
 from ledgerloom.plans import queries
 
 
@@ -9,3 +12,23 @@ def test_name_scores_cover_all_customers(spark, tmp_path):
         rows = queries.QUERIES[name](spark, str(tmp_path)).collect()
         assert sorted((r["c_custkey"], r["s_suppkey"]) for r in rows) == [(c, s) for c in range(1, 21) for s in range(1, 5) if c % 2 == s % 2]
         assert all(r["score"] > 0 for r in rows)
+
+
+def test_best_window_equals_all_windows():
+    rng = random.Random(4)
+    vocabulary = [rng.choice(["harbor", "harbour", "garden", "gardens", "river", "rivers", "stone", "winter"]) + rng.choice(["", "s", "y", "ing"]) for _ in range(40)]
+    for _ in range(60):
+        short, long_ = [rng.choice(vocabulary) for _ in range(rng.randint(1, 6))], [rng.choice(vocabulary) for _ in range(40)]
+        idf = {w: rng.uniform(1, 9) for w in vocabulary[::2]}
+        n = len(short)
+        want = max(similarity._masses(set(short), set(long_[i : i + n]), idf, 10.0) for i in range(len(long_) - n + 1))
+        assert abs(similarity.best_window(short, long_, idf, 10.0) - want) < 1e-9
+
+
+def test_fuzzy_title_score_reads_words_after_the_twelfth(spark, tmp_path, monkeypatch):
+    passage = " ".join(f"passage{i}" for i in range(14))
+    filler = " ".join(f"filler{i}" for i in range(20))
+    spark.createDataFrame([(1, passage)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(5, f"{filler} {passage}")], "doc_id bigint, text string").withColumns({"lang": queries.F.lit("en")}).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "_top", lambda spark, d: spark.createDataFrame([(1, 5)], "item_id bigint, doc_id bigint"))
+    assert queries.fuzzy_title_score(spark, str(tmp_path)).first()["score"] > 40  # whole lists: 14 shared of 34 words
