@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -29,10 +31,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share, as the session names it.
+
+    Where none is named, a session within one process gets a temporary folder of its own; on a cluster that is an error, for
+    executors would write where nobody else can read.
+    """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="ledgerloom-")
         sc.setCheckpointDir(named)
     return named.rstrip("/")
@@ -46,7 +54,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tables/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables made by `stored` that nothing reads any more, and let Spark free the shuffle files of finished steps.
+
+    Spark drops shuffle files when the driver's collector finds their owners gone, which on a calm driver may take very long.
+    """
+    for df in tables:
+        path = getattr(df, "_stored_at", None)
+        if path:
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+    spark = next((df.sparkSession for df in tables if df is not None), None)
+    if spark is not None:
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def schema_with(df: DataFrame, keep: tuple[str, ...], more: str) -> StructType:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _ends(edges: DataFrame) -> DataFrame:
@@ -19,10 +19,11 @@ def _ends(edges: DataFrame) -> DataFrame:
     pointers = stored(edges.groupBy("a").agg(F.min("b").alias("p")).select("a", F.least("a", "p").alias("p")), "pointers")
     while True:
         nxt = pointers.select(F.col("a").alias("_n"), F.col("p").alias("_q"))
-        jumped = stored(pointers.join(nxt, F.col("p") == F.col("_n")).select("a", F.col("_q").alias("p"), (F.col("_q") != F.col("p")).alias("moved")), "jumped")
+        jumped = stored(pointers.select("a", "p").join(nxt, F.col("p") == F.col("_n")).select("a", F.col("_q").alias("p"), (F.col("_q") != F.col("p")).alias("moved")), "jumped")
+        discard(pointers)
         if jumped.where("moved").isEmpty():
-            return jumped.select("a", "p")
-        pointers = jumped.select("a", "p")
+            return jumped
+        pointers = jumped
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -31,13 +32,14 @@ def components(edges: DataFrame) -> DataFrame:
     left = stored(both, "edges")
     result = None
     while not left.isEmpty():
-        ends = _ends(left)
+        ends = _ends(left).select("a", "p")
         end = ends.select(F.col("a").alias("_n"), F.col("p").alias("_e"))
         result = ends.withColumnRenamed("a", "node").withColumnRenamed("p", "component") if result is None else stored(
             result.join(end, F.col("component") == F.col("_n"), "left").select("node", F.coalesce("_e", "component").alias("component")), "labels")
         other = ends.select(F.col("a").alias("_m"), F.col("p").alias("_f"))
-        moved = left.join(end, F.col("a") == F.col("_n")).join(other, F.col("b") == F.col("_m")).select(F.col("_e").alias("a"), F.col("_f").alias("b"))
+        before, moved = left, left.join(end, F.col("a") == F.col("_n")).join(other, F.col("b") == F.col("_m")).select(F.col("_e").alias("a"), F.col("_f").alias("b"))
         left = stored(moved.where("a <> b").distinct(), "edges")
+        discard(before)
     if result is None:
         return left.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return result

@@ -39,7 +39,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.apply(table(spark, sf_dir, "documents")).drop("kept_text")
+    return suffix_dedup.apply(table(spark, sf_dir, "documents"))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 import hashlib
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -196,8 +196,38 @@ def test_cut_passages(spark):
             t = t[:at] + p[a : a + rng.randint(380, 900)] + t[at:]
         texts.append(t)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    got = {r["doc_id"]: tuple(r[c] for c in CUT) for r in suffix_dedup.apply(df).collect()}
-    assert [got[i] for i in range(len(texts))] == slow_cut(texts)
+    for length, hot in ((400, 1024), (400, 2), (256, 1024), (256, 1)):  # lists within a task, and dealt out by windows
+        got = {r["doc_id"]: tuple(r[c] for c in CUT) for r in suffix_dedup.apply(df, length=length, hot=hot).collect()}
+        assert [got[i] for i in range(len(texts))] == slow_cut(texts, length), (length, hot)
+    groups = defaultdict(list)
+    for r in suffix_dedup.repeat_groups(df).collect():
+        groups[r["h"], r["g"], r["left"] + r["right"]].append((bytes(r["key"]), r["place"]))
+    by_key = {hashlib.md5(t.encode()).digest(): t.encode() for t in texts}
+    for (_, _, n), places in groups.items():
+        assert n >= 400 and len(set(places)) == len(places) > 1 and len({by_key[k][at : at + n] for k, at in places}) == 1
+    cover = {k: bytearray(len(b)) for k, b in by_key.items()}
+    for (_, _, n), places in groups.items():
+        for k, at in places:
+            cover[k][at : at + n] = b"\1" * n
+    assert [sum(cover[hashlib.md5(t.encode()).digest()]) for t in texts] == [x[1] for x in slow_cut(texts)]
+
+
+def test_maximal_repeats_equal_brute_force():
+    rng, length = random.Random(3), 4
+    for _ in range(200):
+        members = list({("".join(rng.choice("ab") for _ in range(rng.randint(0, 5))).encode(), "".join(rng.choice("ab") for _ in range(rng.randint(1, 6))).encode()) for _ in range(7)})
+        want = set()
+        for a in range(len(members)):
+            for b in range(a):
+                left, right = (suffix_dedup._common(members[a][s], members[b][s]) for s in (0, 1))
+                if left + right >= length:
+                    same = [i for i, m in enumerate(members) if m[0][:left] == members[a][0][:left] and m[1][:right] == members[a][1][:right] and len(m[0]) >= left and len(m[1]) >= right]
+                    want.add((left, right, tuple(same)))
+        got = [(left, right, tuple(sorted(g))) for left, right, g in suffix_dedup.maximal_repeats(members, length)]
+        assert want <= set(got) and len(set(got)) == len(got)
+        for left, right, g in got:  # all members with these bytes, and diverse on both sides
+            common = lambda side: min(suffix_dedup._common(members[x][side], members[y][side]) for x in g for y in g if x != y)  # noqa: B023, E731
+            assert (common(0), common(1)) == (left, right) and left + right >= length
 
 
 def test_intervals():
