@@ -12,7 +12,7 @@ from .quality_rules import robust_outliers
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", F.round("rate", 6).alias("rate"))
 
 
 def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
@@ -67,7 +67,7 @@ QUERIES = {f.__name__: f for f in (
 
 ORACLE_SQL = {
     "op1_mix_sources": """
-with rows_ as (
+with recursive rows_ as (
   select doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))::bigint as size from documents
 ), sizes as (
   select source, sum(size)::bigint as source_size from rows_ group by source
@@ -81,16 +81,29 @@ with rows_ as (
   select arg_min(theta, (s0, theta)) filter (where 3 * source_size >= theta * w) as theta from levels
 ), plan as (
   select source, source_size, round(coalesce(least(l.theta * w, (3 * source_size)::double), (3 * source_size)::double), 6) as target from levels, level l
+), counts as (
+  select source, list({'size': size, 'n': n}) as hs from (select source, size, count(*) as n from rows_ group by all) group by source
+), bracket as (
+  select p.source, p.target, c.hs, 0 as step, least(ln(target / source_size), 0.0::double) as low, greatest(ln(target / source_size), 0.0::double) as high
+  from plan p join counts c on p.source is not distinct from c.source where source_size > 0 and target < 3 * source_size
+), halved as (
+  select * from bracket union all
+  select source, target, hs, step + 1, case when got < target then mid else low end, case when got < target then high else mid end
+  from (select *, (low + high) / 2 as mid, list_sum(list_transform(hs, lambda h: h.n * h.size * case when (low + high) / 2 * h.size >= ln(3) then 3.0::double else exp((low + high) / 2 * h.size) end)) as got
+        from halved where step < 100)
+), tilts as (
+  select source, (low + high) / 2 as tilt, true as solved from halved where step = 100
 ), units as (
-  select *, case when source_size > 0 and target > 0 then round(target / source_size * 1000000)::bigint else 0 end as units from plan
+  select r.*, p.source_size, p.target, round(case when p.source_size = 0 then 1.0::double when t.solved is null or tilt * size >= ln(3) then 3.0::double else exp(tilt * size) end * 1000000)::bigint as units
+  from rows_ r join plan p on r.source is not distinct from p.source left join tilts t on r.source is not distinct from t.source
 ), celled as (
-  select r.doc_id, r.source, r.size, u.source_size, u.target, u.units // 1000000 as base, u.units % 1000000 as part,
-         length(bin(r.size)) * 16 + (r.size >> greatest(length(bin(r.size)) - 4, 0)::bigint) as c1, coalesce(((r.doc_id % 32) + 32) % 32, -1) as c2
-  from rows_ r join units u on r.source is not distinct from u.source
+  select *, units // 1000000 as base, units % 1000000 as part,
+         length(bin(size)) * 16 + (size >> greatest(length(bin(size)) - 4, 0)::bigint) as c1, coalesce(((doc_id % 32) + 32) % 32, -1) as c2
+  from units
 ), placed as (
-  select *, row_number() over (partition by source order by c1, c2, size, doc_id nulls first) as i from celled
+  select *, sum(part) over (partition by source order by c1, c2, size, doc_id nulls first rows between unbounded preceding and current row)::bigint as cum from celled
 ), rounded as (
-  select *, (i * part + 500000) // 1000000 - ((i - 1) * part + 500000) // 1000000 as extra from placed
+  select *, (cum + 500000) // 1000000 - (cum - part + 500000) // 1000000 as extra from placed
 ), missing as (
   select *, round(target - sum((base + extra) * size) over (partition by source))::bigint as short from rounded
 ), opened as (
@@ -98,7 +111,7 @@ with rows_ as (
 ), summed as (
   select *, sum(case when open_ then size else 0 end) over (partition by source order by c1, c2, size, doc_id nulls first rows between unbounded preceding and current row) as upto from opened
 )
-select doc_id, size, source_size, target,
+select doc_id, size, source_size, target, round(units / 1000000.0::double, 6) as rate,
        ((base + case when open_ and upto <= abs(short) then (case when short > 0 then 1 else 0 end) else extra end) * size)::bigint as taken
 from summed
 """,

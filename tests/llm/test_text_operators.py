@@ -52,6 +52,25 @@ def test_mix_reaches_targets(spark):
         assert abs(taken[s] - want[s]) <= 0.02 * want[s] + 20
 
 
+def test_rates_solve_the_dual(spark):
+    """The rates equal those of a plain bisection in numpy, differ within a source, and meet the token constraints."""
+    rng = random.Random(9)
+    rows = [(i, "w " * (rng.randint(1, 60) if i % 7 else rng.randint(500, 4000)), rng.choice("aaaaaabbc")) for i in range(400)]
+    got = mix_sources(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    for source in "abc":
+        own = [r for r in got if r["source"] == source]
+        sizes, target = np.array([r["size"] for r in own], float), own[0]["target"]
+        low, high = -1.0, 2.0
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (middle, high) if (sizes * np.minimum(3, np.exp(np.minimum(middle * sizes, 9)))).sum() < target else (low, middle)
+        capped = target >= 3 * sizes.sum()
+        want = np.full(len(sizes), 3.0) if capped else np.minimum(3, np.exp(np.minimum(low * sizes, 9)))
+        assert np.allclose([r["rate"] for r in own], want, rtol=1e-9, atol=1e-12)
+        assert sum(r["rate"] * r["size"] for r in own) == pytest.approx(target, rel=1e-9) and all(r["copies"] in (int(r["rate"]), int(r["rate"]) + 1) and r["copies"] <= 3 for r in own)
+        assert capped or len({r["rate"] for r in own}) > 20
+
+
 def test_mix_odd_rows(spark, odd, odd_rows, empty, clashing):
     got = mix_sources(odd)
     assert got.count() == len(odd_rows)
