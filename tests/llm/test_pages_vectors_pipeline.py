@@ -5,7 +5,7 @@ from ledgerloom.llm import html_extract, nn_descent
 
 
 def text(html):
-    return html_extract.main_text(html_extract.Page(html))
+    return html_extract.main_text([(n[0], 0, n[3], n[4], n[5]) for n in html_extract.Page(html).nodes])
 
 
 def test_main_text():
@@ -36,6 +36,77 @@ def test_template_text_is_dropped(spark):
     assert html_extract.extract(pages(spark, [])).count() == 0
 
 
+WORDS = "amber basil cedar dahlia elder fennel ginger hazel iris juniper".split()
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(WORDS) + str(rng.integers(1000)) for _ in range(n))
+
+
+def unmarked(rng, host, i):
+    """A page whose names and elements tell nothing: only what the host's pages share shows the article. Returns html and the article."""
+    menu = "".join(f"<div><a href='/{i}/{k}'>{prose(rng, 2)}</a></div>" for k in range(rng.integers(3, 8)))
+    body = [prose(rng, int(rng.integers(20, 80))) for _ in range(rng.integers(2, 5))]
+    article = "".join(f"<div>{t}</div>" for t in body)
+    frame = {
+        0: f"<body><div class='qa'>{menu}</div><div class='qb'>{prose(rng, 9)}</div><div class='qc'>{article}</div><div class='qd'><b>Owned by {host}</b> {prose(rng, 5)}</div></body>",
+        1: f"<body><table><tr><td class='za'>{menu}</td><td class='zb'>{article}</td><td class='zc'>{prose(rng, 6)}<i>All rights kept</i></td></tr></table></body>",
+    }[len(host) % 2]
+    return frame, "\n\n".join(body)
+
+
+def test_classes_decide_where_no_mark_does(spark):
+    rng = np.random.default_rng(5)
+    rows, want = [], {}
+    for h, host in enumerate(["a.example", "bb.example", "ccc.example", "dddd.example"]):
+        for i in range(12):
+            html, article = unmarked(rng, host, i)
+            rows.append((100 * h + i, f"https://{host}/{i}", html))
+            want[100 * h + i] = article
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(pages(spark, rows)).collect()}
+    assert got == want
+    alone = {r[0]: text(r[2]) for r in rows}
+    assert all(alone[i] != want[i] for i in want)  # without its host's template every page's text is another one
+
+
+def test_classes_equal_brute_force(spark):
+    """Tokens share a class exactly if their vectors of counts over the rows of a host are equal, also where rows are repeated."""
+    rng = np.random.default_rng(8)
+    rows = [(i % 5, f"https://{'ab'[i % 2]}.example/{i}", f"<body><div><p>same</p>{'<p>x</p>' * int(rng.integers(1, 3))}<b>{i % 3}</b></div></body>") for i in range(16)]
+    rows += rows[:4]
+    read = html_extract.stored(html_extract.parsed(pages(spark, rows).select("page_id", "url", "html", html_extract._host().alias("host"), F.monotonically_increasing_id().alias("row"))), "pages")
+    vectors = {}
+    for r in read.collect():
+        counts = dict(zip(r["e_token"], r["e_n"], strict=True))
+        for t in r["n_token"]:
+            counts[t] = counts.get(t, 0) + 1
+        for t, n in counts.items():
+            vectors.setdefault((r["host"], t), []).append((r["row"], n))
+    want = {}
+    for (host, t), v in vectors.items():
+        want.setdefault((host, tuple(sorted(v))), set()).add(t)
+    got = {}
+    for r in html_extract.occurrences(read).collect():
+        assert r["n"] == len(vectors[r["host"], r["token"]])
+        got.setdefault((r["host"], r["n"], r["v1"], r["v2"]), set()).add(r["token"])
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_main_slot():
+    slot = lambda around, fresh, single=True, rank=0: {"around": around, "single": single, "fresh": fresh, "rank": rank}
+    body = {1: slot(0, 100), 2: slot(1, 90), 3: slot(1, 10), 4: slot(2, 85), 5: slot(4, 80, single=False)}
+    assert html_extract.main_slot(body) == 4
+    assert html_extract.main_slot(body | {2: slot(1, 90, rank=3)}) == 2  # nested slots of nearly the same text: the marked one
+    assert html_extract.main_slot({1: slot(0, 100), 2: slot(1, 40), 3: slot(1, 45)}) == 1 and html_extract.main_slot({}) is None
+
+
+def test_deep_and_long_pages(spark):
+    deep = "<div>" * 20_000 + "<p>deep</p>"
+    rows = [(i, f"https://h.example/{i}", f"<body><div class='m'><a href='x'>{i}</a></div><div class='t'>{'word%d ' % i * 30_000}</div></body>") for i in range(5)]
+    got = {r["page_id"]: r["n_chars"] for r in html_extract.extract(pages(spark, [*rows, (9, "https://d.example/", deep)])).collect()}
+    assert got[9] == 4 and all(got[i] == 6 * 30_000 - 1 for i in range(5))
+
+
 def test_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(6)
     base = rng.normal(size=(400, 64))
