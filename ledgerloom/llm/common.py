@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,20 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, most: str = "8m") -> Iterator[None]:
+    """Within, plans hand at most about `most` bytes at a time to Python; the default is eight times that, held in several copies."""
+    before = spark.conf.get(BATCH_BYTES, None)
+    spark.conf.set(BATCH_BYTES, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_BYTES, before) if before is not None else spark.conf.unset(BATCH_BYTES)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back.
 
@@ -53,7 +68,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tables/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
