@@ -5,10 +5,14 @@ projections; neighbours in an order are compared in blocks. Rounds of NN-descent
 and backward, are compared with one another, and each class keeps its `k` nearest. Vectors are compared by 8-bit copies, and
 pairs near the threshold are verified in double precision.
 
-A class whose list is full of links is saturated: it may have more links than its list holds. Its list is enlarged to its whole connected group:
-every link lies within a group, so the links of all members are counted by comparing the group in tiles, from which only
-counts leave. The same counts serve all groups. Links found after that only matter if they join groups; recall is audited against
-an exact search for `audit` sampled vectors, and while it is below `goal` another round with new orders follows, up to `most_rounds`.
+A class whose list is full of links is saturated: it may have more links than its list holds. Lists of saturated classes are enlarged fourfold,
+from new orders of these classes alone, until they are no longer full or hold `most_k` links. Links found after that only matter if they join
+groups or are counted: groups of at most `tile` classes, and those with a class that is full at `most_k`, are compared in tiles of which only counts leave; in
+other groups, whose members have few links each, links are counted from the lists. So the work is quadratic only in groups that are dense.
+
+Recall is audited against an exact search for `audit` sampled classes, for the average class with links and for the average one with at most `k` links, so
+that one large group does not hide isolated pairs that are missed. While either is below `goal` another attempt with new orders follows; if
+`most_rounds` of them do not reach it, that is an error. The number of orders grows with the logarithm of the number of classes.
 
 Defined results: vectors that are null, zero, of another length than `dims`, or that hold null or non-finite components link with
 nothing; equal vectors link with each other; rows that repeat a vec_id are separate vectors with equal results.
@@ -18,17 +22,18 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 from .components import components
 
 BLOCK = 256
-TILE = 256
+TILE = 1024
 #: The 8-bit copies tell a cosine to about this.
 SLACK = 0.03
 EDGE = "a bigint, b bigint, c float"
@@ -101,7 +106,7 @@ def ordered_blocks(classes: DataFrame, orders: int, bits: int, k: int, seed: int
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, ids, qs = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, dims), np.int8)
-        for batch in [*batches, None]:
+        for batch in chain(batches, [None]):
             if batch is not None:
                 t = np.concatenate([t, batch.column("t").to_numpy()])
                 ids = np.concatenate([ids, batch.column("rep").to_numpy()])
@@ -134,7 +139,7 @@ def descend(graph: DataFrame, classes: DataFrame, k: int, dims: int) -> DataFram
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, dims), np.int8))
-        for batch in [*batches, None]:
+        for batch in chain(batches, [None]):
             if batch is not None:
                 new = (batch.column("p").to_numpy(), batch.column("rep").to_numpy(), _vectors(batch.column("q"), np.int8, dims))
                 held = tuple(np.concatenate([x, y]) for x, y in zip(held, new, strict=True))
@@ -157,6 +162,23 @@ def descend(graph: DataFrame, classes: DataFrame, k: int, dims: int) -> DataFram
     return _top(graph.union(found), k)
 
 
+def _bits(classes: DataFrame) -> int:
+    """Signs that split the classes into runs of about a block."""
+    return max(0, int(np.ceil(np.log2(max(1, classes.count() / BLOCK)))))
+
+
+def enlarged(graph: DataFrame, classes: DataFrame, k: int, most_k: int, orders: int, threshold: float, seed: int, dims: int) -> tuple[DataFrame, DataFrame]:
+    """The graph with longer lists for classes whose lists are full of links, and the classes (a) whose lists are full at most_k."""
+    while True:
+        full = stored(graph.where(F.col("c") >= threshold).groupBy("a").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k).select("a"), "saturated")
+        if k >= most_k or full.isEmpty():
+            return graph, full
+        k = min(4 * k, most_k)
+        own = classes.join(full, F.col("rep") == F.col("a"), "left_semi")
+        wider = ordered_blocks(own, orders, _bits(own), k, seed + k, dims)
+        graph = stored(_top(graph.union(wider), k), "graph")
+
+
 def verified(edges: DataFrame, classes: DataFrame, threshold: float, dims: int) -> DataFrame:
     """(a, b) of the edges whose cosine in double precision reaches the threshold."""
     pairs = edges.where(F.col("c") >= threshold - SLACK).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -171,9 +193,16 @@ def verified(edges: DataFrame, classes: DataFrame, threshold: float, dims: int)
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def counted(groups: DataFrame, classes: DataFrame, threshold: float, dims: int) -> DataFrame:
+def listed(links: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """(rep, links): vectors of other classes that each class of a group links with, from the links found."""
+    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    sums = both.join(groups.select("node"), F.col("a") == F.col("node"), "left_semi").join(classes.select("rep", "n"), F.col("b") == F.col("rep"))
+    return sums.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("links"))
+
+
+def counted(groups: DataFrame, classes: DataFrame, threshold: float, dims: int, tile_rows: int = TILE) -> DataFrame:
     """(rep, links): vectors of other classes that each class of a group links with, by tiles of the group."""
-    sizes = groups.groupBy(F.col("component").alias("_g")).agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    sizes = groups.groupBy(F.col("component").alias("_g")).agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("tiles"))
     rows = groups.join(sizes, F.col("component") == F.col("_g")).join(classes.select("rep", "n", "unit"), F.col("node") == F.col("rep"))
     tile = F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")
     rows = rows.select("component", "rep", "n", "unit", tile.alias("t"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("u"))
@@ -192,7 +221,7 @@ def counted(groups: DataFrame, classes: DataFrame, threshold: float, dims: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = None, []
-        for batch in [*batches, None]:
+        for batch in chain(batches, [None]):
             reps, links = [], []
             for row in zip(*(batch.column(c).to_pylist() for c in range(7)), strict=True) if batch is not None else [((None,) * 7)]:
                 if row[:3] != held:
@@ -209,8 +238,8 @@ def counted(groups: DataFrame, classes: DataFrame, threshold: float, dims: int)
     return tiled.groupBy("rep").agg(F.sum("links").alias("links"))
 
 
-def _audited(counts: DataFrame, classes: DataFrame, threshold: float, audit: int, dims: int) -> float:
-    """Share of the links of at most about `audit` sampled classes, found by exact search, that counts has too."""
+def _audited(counts: DataFrame, classes: DataFrame, threshold: float, audit: int, few: int, dims: int) -> float:
+    """The lesser of the average shares of links, found by exact search for about `audit` sampled classes, that counts has: of all classes with links, and of those with few."""
     total = classes.count()
     chosen = F.pmod(F.xxhash64("rep", F.lit("audit")), F.lit(1 << 20)) < max(1, int((1 << 20) * min(1.0, audit / max(1, total))))
     sample = classes.where(chosen).select("rep", "unit").limit(4 * audit).collect()
@@ -228,30 +257,44 @@ def _audited(counts: DataFrame, classes: DataFrame, threshold: float, audit: int
             sums += link @ batch.column("n").to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(sums)], ["rep", "links"])
 
-    true = classes.select("rep", "n", "unit").mapInArrow(run, "rep bigint, links bigint").groupBy("rep").agg(F.sum("links").alias("sought"))
-    row = true.join(counts, "rep", "left").agg(F.sum("sought").alias("s"), F.sum(F.least("sought", F.coalesce("links", F.lit(0)))).alias("f")).first()
-    return 1.0 if not row["s"] else row["f"] / row["s"]
+    true = classes.select("rep", "n", "unit").mapInArrow(run, "rep bigint, links bigint").groupBy("rep").agg(F.sum("links").alias("sought")).where("sought > 0")
+    share = F.least(F.lit(1.0), F.coalesce("links", F.lit(0)) / F.col("sought"))
+    row = true.join(counts, "rep", "left").agg(F.avg(share).alias("all"), F.avg(F.when(F.col("sought") <= few, share)).alias("few")).first()
+    return min(1.0 if row[c] is None else row[c] for c in ("all", "few"))
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, dims: int = 64, k: int = 10, orders: int = 8, rounds: int = 2, audit: int = 1000,
-                    goal: float = 0.99, most_rounds: int = 3) -> DataFrame:
+                    goal: float = 0.99, most_rounds: int = 6, most_k: int = 160, tile: int = TILE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of vectors (vec_id, embedding)."""
     rows = stored(prepared(vectors, dims), "vectors")
     classes = stored(rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.min("unit").alias("unit"), F.min("q").alias("q")), "vector-classes")
-    bits = max(0, int(np.ceil(np.log2(max(1, classes.count() / BLOCK)))))
+    bits = _bits(classes)
+    orders += bits
     graph = found = None
     for attempt in range(most_rounds):
-        first = stored(ordered_blocks(classes, orders, bits, k, 17 + attempt, dims), "block-edges")
+        first = stored(ordered_blocks(classes, orders, bits, k, 17 + 1000 * attempt, dims), "block-edges")
         graph = stored(_top(first if graph is None else graph.union(first), k), "graph")
         near = first.where(F.col("c") >= threshold - SLACK)
         found = near if found is None else found.union(near)
         for _ in range(rounds):
-            graph = stored(descend(graph, classes, k, dims), "graph")
-        links = stored(verified(found.union(graph), classes, threshold, dims), "links")
-        groups = components(links)
-        counts = stored(counted(groups, classes, threshold, dims), "link-counts")
-        if _audited(counts, classes, threshold, audit, dims) >= goal:
+            before, graph = graph, stored(descend(graph, classes, k, dims), "graph")
+            discard(before)
+        wide, full = enlarged(graph, classes, k, most_k, orders, threshold, 17 + 1000 * attempt, dims)
+        found = stored(found.union(wide.where(F.col("c") >= threshold - SLACK)), "near-edges")
+        discard(first)
+        links = stored(verified(found, classes, threshold, dims), "links")
+        groups = stored(components(links), "groups")
+        dense = groups.join(full, F.col("node") == F.col("a"), "left_semi").select("component").distinct().withColumn("dense", F.lit(True))
+        sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("_size"))
+        kinds = sizes.join(dense, "component", "left").select("component", ((F.col("_size") <= tile) | F.col("dense").isNotNull()).alias("tiled"))
+        groups = stored(groups.join(kinds, "component"), "groups")
+        tiled, others = groups.where("tiled"), groups.where("not tiled")
+        counts = stored(counted(tiled, classes, threshold, dims, tile).union(listed(links, others, classes)), "link-counts")
+        recall = _audited(counts, classes, threshold, audit, k, dims)
+        if recall >= goal:
             break
+    else:
+        raise ArithmeticError(f"recall is {recall:.4f} after {most_rounds} attempts, below {goal}")
     by_class = classes.join(counts.withColumnRenamed("rep", "_r"), F.col("rep") == F.col("_r"), "left").join(groups, F.col("rep") == F.col("node"), "left")
     by_class = by_class.select(F.col("key").alias("_key"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("_links"), F.coalesce("component", "rep").alias("_component"))
     out = rows.select("vec_id", "key").join(by_class, F.col("key") == F.col("_key"), "left")

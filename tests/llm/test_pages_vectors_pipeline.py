@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import html_extract, nn_descent
@@ -115,7 +116,10 @@ def test_vectors_equal_brute_force(spark):
     x = np.concatenate([base, near, clump, base[:5], base[5:8] * 2]).astype(np.float32).astype(float)
     rows = [(i + 7, v.tolist()) for i, v in enumerate(x)]
     odd = [(5000, None), (5001, [0.0] * 64), (5002, [float("nan")] + [1.0] * 63), (5003, [None] + [1.0] * 63), (5004, [1.0]), (5005, [])]
-    got = {r["vec_id"]: r for r in nn_descent.near_duplicates(spark.createDataFrame(rows + odd, "vec_id bigint, embedding array<double>")).collect()}
+    df = spark.createDataFrame(rows + odd, "vec_id bigint, embedding array<double>")
+    got = {r["vec_id"]: r for r in nn_descent.near_duplicates(df.withColumn("key", F.lit(1)).withColumn("n", F.lit(2)).withColumn("rep", F.lit(3))).collect()}
+    twice = nn_descent.near_duplicates(df.where("vec_id < 100").union(df.where("vec_id = 7")), most_k=10)
+    assert twice.where("vec_id = 7").distinct().count() == 1 and twice.where("vec_id = 7").count() == 2
     u = x / np.linalg.norm(x, axis=1)[:, None]
     link = u @ u.T >= 0.9
     np.fill_diagonal(link, False)
@@ -130,6 +134,30 @@ def test_vectors_equal_brute_force(spark):
     assert nn_descent.near_duplicates(spark.createDataFrame([], "vec_id bigint, embedding array<double>")).count() == 0
 
 
+def test_lists_are_enlarged_and_counted(spark):
+    """A group of few links per member is counted from its lists; a list that is full of links grows until it is not."""
+    rng = np.random.default_rng(2)
+    clump = rng.normal(size=64) + 0.12 * rng.normal(size=(90, 64))
+    turn = np.linspace(0, 12, 120)  # a chain: each vector links with its neighbours
+    chain = np.zeros((120, 64))
+    chain[np.arange(120), (turn // 1.5).astype(int)] = np.cos(turn % 1.5)
+    chain[np.arange(120), (turn // 1.5).astype(int) + 1] = np.sin(turn % 1.5)
+    x = np.concatenate([clump, chain, rng.normal(size=(150, 64))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    link = u @ u.T >= 0.9
+    np.fill_diagonal(link, False)
+    for options in ({}, {"tile": 1}, {"tile": 1, "most_k": 20}):
+        got = {r["vec_id"]: r["n_links"] for r in nn_descent.near_duplicates(df, **options).collect()}
+        assert [got[i] for i in range(len(x))] == link.sum(1).tolist(), options
+
+
+def test_recall_below_goal_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "_audited", lambda *a: 0.5)
+    with pytest.raises(ArithmeticError):
+        nn_descent.near_duplicates(spark.createDataFrame([(1, [1.0] * 64), (2, [1.0] * 64)], "vec_id bigint, embedding array<double>"), most_rounds=1)
+
+
 def test_pipeline_stages(spark, clashing, empty):
     import corpus_pipeline
 
