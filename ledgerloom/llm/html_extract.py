@@ -189,24 +189,32 @@ def _host(url: str = "url"):
 
 PARSED = (
     "row bigint, page_id bigint, url string, host string, main bigint, e_token array<bigint>, e_around array<bigint>, e_n array<bigint>, e_place array<bigint>, e_chars array<bigint>, "
-    "e_links array<bigint>, e_rank array<bigint>, n_block array<bigint>, n_element array<bigint>, n_token array<bigint>, n_place array<bigint>, n_text array<string>, n_apart array<boolean>, n_rank array<bigint>"
+    "e_links array<bigint>, e_rank array<bigint>, n_block array<bigint>, n_element array<bigint>, n_token array<bigint>, n_place array<bigint>, n_text array<string>, n_apart array<boolean>, n_rank array<bigint>, "
+    "t_token array<bigint>, t_around array<bigint>, t_n array<bigint>, t_place array<bigint>, t_chars array<bigint>"
 )
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """Each page as parallel arrays of its elements (e_) and text nodes (n_); main is a digest of what its own marks give as its text."""
+    """Each page as parallel arrays of its elements (e_), text nodes (n_) and distinct text tokens (t_); main is a digest of what its own marks give as its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in split_rows(batches, "html"):
-            main, lists = [], {c: [] for c in ("e_token", "e_around", "e_n", "e_place", "e_chars", "e_links", "e_rank", "n_block", "n_element", "n_token", "n_place", "n_text", "n_apart", "n_rank")}
+            main, lists = [], {c: [] for c in ("e_token", "e_around", "e_n", "e_place", "e_chars", "e_links", "e_rank", "n_block", "n_element", "n_token", "n_place", "n_text", "n_apart", "n_rank", "t_token", "t_around", "t_n", "t_place", "t_chars")}
             for html in batch.column("html").to_pylist():
                 page = Page(html or "")
                 rows = list(page.elements.values())
                 own = [_token(f"{path}\n{text.strip()}") if text.strip() else 0 for _, path, _, text, _, _ in page.nodes]
+                texts: dict[int, list[int]] = {}
+                for t, (_, path, place, text, apart, _) in zip(own, page.nodes, strict=True):
+                    if t:
+                        found = texts.setdefault(t, [path, 0, place, 0])
+                        found[1] += 1
+                        found[3] += 0 if apart else len(text.strip())
                 made = {
                     "e_token": list(page.elements), **{c: [r[i] for r in rows] for i, c in enumerate(("e_around", "e_n", "e_place", "e_chars", "e_links", "e_rank"))},
                     "n_token": own, **{c: [n[i] for n in page.nodes] for i, c in enumerate(("n_block", "n_element", "n_place", "n_text", "n_apart", "n_rank"))},
                 }
+                made |= {"t_token": list(texts)} | {c: [t[i] for t in texts.values()] for i, c in enumerate(("t_around", "t_n", "t_place", "t_chars"))}
                 for c, values in made.items():
                     lists[c].append(values)
                 main.append(_token(main_text([(n[0], 0, n[3], n[4], n[5]) for n in page.nodes])))
@@ -226,10 +234,10 @@ def occurrences(pages: DataFrame) -> DataFrame:
     elements = named.select("host", "row", F.explode(F.arrays_zip("e_token", "e_around", "e_n", "e_place", "e_chars", "e_links", "e_rank")).alias("e")).select(
         "host", "row", F.col("e.e_token").alias("token"), F.lit(True).alias("element"), F.col("e.e_n").alias("count"), F.col("e.e_place").alias("place"), F.col("e.e_around").alias("around"),
         F.col("e.e_chars").alias("chars"), F.col("e.e_links").alias("links"), F.col("e.e_rank").alias("rank"))
-    texts = named.select("host", "row", F.explode(F.arrays_zip("n_token", "n_place", "n_element", "n_text", "n_apart", "n_rank")).alias("e")).where("e.n_token <> 0")
-    texts = texts.groupBy("host", "row", F.col("e.n_token").alias("token")).agg(
-        F.count(F.lit(1)).alias("count"), F.min("e.n_place").alias("place"), F.min("e.n_element").alias("around"), F.sum(F.when(F.col("e.n_apart"), 0).otherwise(F.length(F.trim("e.n_text")))).alias("chars"))
-    texts = texts.select("host", "row", "token", F.lit(False).alias("element"), "count", "place", "around", "chars", F.lit(0).cast("bigint").alias("links"), F.lit(0).cast("bigint").alias("rank"))
+    none = F.lit(0).cast("bigint")
+    texts = named.select("host", "row", F.explode(F.arrays_zip("t_token", "t_around", "t_n", "t_place", "t_chars")).alias("e")).select(
+        "host", "row", F.col("e.t_token").alias("token"), F.lit(False).alias("element"), F.col("e.t_n").alias("count"), F.col("e.t_place").alias("place"), F.col("e.t_around").alias("around"),
+        F.col("e.t_chars").alias("chars"), none.alias("links"), none.alias("rank"))
     mark = F.xxhash64("row", "count")
     return elements.unionByName(texts).groupBy("host", "token", "element").agg(
         F.count(F.lit(1)).alias("n"), F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))).alias("v1"), F.sum(F.shiftrightunsigned(mark, 32)).alias("v2"), F.sum("place").alias("place"), F.min("around").alias("around"),
@@ -329,16 +337,17 @@ def slot_text(page: dict, slot: int | None, linked: list[int], classes: list[lis
     return main_text(out, _ordered(classes, places) - {0})
 
 
-#: Parts in which a host's pages meet its template.
-SALTS = 32
+#: Parts in which a host's pages meet its template, where Spark finds the templates too large to broadcast.
+SALTS = 8
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for each row of pages (page_id, url, html)."""
     read = stored(parsed(pages.select("page_id", "url", "html", _host().alias("host"), F.monotonically_increasing_id().alias("row"))), "pages")
     mains = read.where("host <> ''").groupBy("host", "main").agg(F.count(F.lit(1)).alias("n")).groupBy("host").agg(F.sum("n").alias("pages"), F.count(F.lit(1)).alias("mains"))
-    template = stored(templates(occurrences(read), mains), "page-templates")
-    discard()
+    found = stored(occurrences(read), "page-tokens")
+    template = stored(templates(found, mains), "page-templates")
+    discard(found)
     salted = template.select(F.col("host").alias("_h"), "slot", "linked", "classes", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s"))
     names = ["e_token", "e_around", "e_place", "n_block", "n_element", "n_token", "n_place", "n_text", "n_apart", "n_rank"]
     both = read.join(salted, (F.col("host") == F.col("_h")) & (F.pmod("row", F.lit(SALTS)) == F.col("_s")), "left").select("page_id", "url", *names, "slot", "linked", "classes")
