@@ -362,6 +362,30 @@ def test_rules_reject_outliers(spark):
     got = quality_rules.robust_outliers(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"))
     kept = {r["doc_id"]: r["kept"] for r in got.collect()}
     assert sum(kept[i] for i in range(400)) >= 395 and not any(kept[1000 + i] for i in range(60))
-    # the estimate itself against numpy on the same start and steps
-    x = np.array([[r[f"x{j}"] for j in range(5)] for r in got.where("doc_id < 1000").orderBy("doc_id").collect()])
-    assert np.isfinite(x).all()
+
+
+def test_estimate_equals_numpy(spark):
+    """Least determinant of many starts with exact halves in numpy: the distributed estimate comes as low, and the distances agree."""
+    rng = np.random.default_rng(4)
+    mix = rng.normal(size=(5, 5)) + 2 * np.eye(5)
+    clean, far = rng.normal(size=(1500, 5)) @ mix, rng.normal(size=(300, 5)) * 0.3 + 12
+    x = np.concatenate([clean, far]) * 3
+    rows = spark.createDataFrame([("g", i % 16, *map(float, v)) for i, v in enumerate(x)], "grp string, salt int, x0 double, x1 double, x2 double, x3 double, x4 double")
+    fit = quality_rules.covariances(rows).first()
+    floors, h = np.diag(np.array(quality_rules.FLOORS) ** 2 / 2), int(np.ceil(0.75 * len(x)))
+    best = None
+    for start in range(30):
+        own = x[rng.choice(len(x), 40, replace=False)]
+        for _ in range(40):
+            cov = np.cov(own.T, bias=True) + floors
+            d2 = np.einsum("ij,jk,ik->i", x - own.mean(0), np.linalg.inv(cov), x - own.mean(0))
+            own = x[np.argsort(d2)[:h]]
+        found = np.linalg.slogdet(np.cov(own.T, bias=True) + floors)[1], own
+        best = found if best is None or found[0] < best[0] else best
+    assert fit["logdet"] == pytest.approx(best[0], abs=0.1)
+    low = np.array([[fit[f"l{i}{j}"] if j <= i else 0.0 for j in range(5)] for i in range(5)])
+    want = np.cov(best[1].T, bias=True) + floors
+    assert np.allclose(low @ low.T, want, atol=0.05 * np.abs(want).max()) and np.allclose([fit[f"m{i}"] for i in range(5)], best[1].mean(0), atol=0.3)
+    d2 = {r["salt"]: r for r in quality_rules._distance(rows.limit(16), quality_rules.covariances(rows).drop("start", "logdet")).collect()}
+    z = np.linalg.solve(low, (x[:16] - np.array([fit[f"m{i}"] for i in range(5)])).T)
+    assert np.allclose([d2[i]["d2"] for i in range(16)], (z * z).sum(0))
