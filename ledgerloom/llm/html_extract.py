@@ -55,6 +55,10 @@ SPACE = re.compile(r"\s+")
 NAME = re.compile(r"[^a-z]+")
 
 
+#: Pages of a host that a token of its template needs.
+LEAST_PAGES = 4
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -267,7 +271,7 @@ def main_slot(slots: dict[int, dict], share: float = 0.6, tie: float = 0.8) -> i
     return max(near, key=lambda t: (slots[t]["rank"], entered.index(t)))
 
 
-def templates(found: DataFrame, hosts: DataFrame, least_tokens: int = 3, least_share: float = 0.5, least_pages: int = 4, link_share: float = 0.8) -> DataFrame:
+def templates(found: DataFrame, hosts: DataFrame, least_tokens: int = 3, least_share: float = 0.5, least_pages: int = LEAST_PAGES, link_share: float = 0.8) -> DataFrame:
     """(host, main, apart, classes): per host its main slot, slots that are mostly links, and its classes, each a list of tokens in order."""
     hosts = hosts.where((F.col("pages") >= least_pages) & (F.col("mains") >= 0.5 * F.col("pages")))
     frequent = found.where(F.col("n") >= least_pages).join(hosts, "host").where(F.col("n") >= least_share * F.col("pages"))
@@ -345,7 +349,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for each row of pages (page_id, url, html)."""
     read = stored(parsed(pages.select("page_id", "url", "html", _host().alias("host"), F.monotonically_increasing_id().alias("row"))), "pages")
     mains = read.where("host <> ''").groupBy("host", "main").agg(F.count(F.lit(1)).alias("n")).groupBy("host").agg(F.sum("n").alias("pages"), F.count(F.lit(1)).alias("mains"))
-    found = stored(occurrences(read), "page-tokens")
+    found = stored(occurrences(read).where(F.col("n") >= LEAST_PAGES), "page-tokens")
     template = stored(templates(found, mains), "page-templates")
     discard(found)
     salted = template.select(F.col("host").alias("_h"), "slot", "linked", "classes", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s"))
