@@ -7,7 +7,6 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +27,7 @@ SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -50,15 +50,14 @@ def shared_folder(spark: SparkSession) -> str:
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-@contextmanager
-def small_batches(spark: SparkSession, most: str = "8m") -> Iterator[None]:
-    """Within, plans hand at most about `most` bytes at a time to Python; the default is eight times that, held in several copies."""
-    before = spark.conf.get(BATCH_BYTES, None)
-    spark.conf.set(BATCH_BYTES, most)
-    try:
-        yield
-    finally:
-        spark.conf.set(BATCH_BYTES, before) if before is not None else spark.conf.unset(BATCH_BYTES)
+def small_batches(spark: SparkSession, most: str = "8m") -> None:
+    """Let plans of this session hand at most about `most` bytes of text at a time to Python, unless the session has a limit of its own.
+
+    The default is eight times that, and a batch is held in several copies on either side. Results do not depend on it. The setting stays, for a
+    returned DataFrame is planned when it is used.
+    """
+    if spark.conf.get(BATCH_BYTES, None) in (None, "64m", "67108864", "67108864b"):
+        spark.conf.set(BATCH_BYTES, most)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -68,8 +67,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tables/{label}-{uuid.uuid4().hex}"
-    with small_batches(spark):
-        df.write.parquet(path)
+    small_batches(spark)
+    df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
