@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from .wordlists import STOPWORDS
+
 #: Ligatures and their letters.
 LIGATURES = {"œ": "oe", "Œ": "OE", "æ": "ae", "Æ": "AE", "ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl", "ﬆ": "st"}
 
@@ -26,18 +28,15 @@ def _accents() -> tuple[str, str]:
 
 ACCENTS = _accents()
 
-#: Function words per language that carry no evidence; `stopwords=` replaces them.
-STOPWORDS = {
-    "eng": "a an and at by for from in of on or the to with".split(),
-    "fre": "au aux de des du en et la le les ou par un une".split(),
-    "ger": "am das dem den der des die ein eine im in und von zu".split(),
-    "spa": "al de del el en la las los por un una y".split(),
-    "ita": "al da dei del della di e i il in la le lo un una".split(),
-}
+def stopwords(field: str = "title", lang: str = "eng") -> list[str]:
+    """The words of a field that carry no evidence; unknown languages are read as English."""
+    lists = STOPWORDS[field]
+    return lists.get(lang, lists["eng"])
 
 
-def all_stopwords(stopwords: dict[str, list[str]] | None = None) -> list[str]:
-    return sorted(set().union(*(stopwords or STOPWORDS).values()))
+def all_stopwords(field: str = "title") -> list[str]:
+    """Those of all languages together, as words of normalised text."""
+    return sorted({w for words in STOPWORDS[field].values() for w in words if w.isalnum()})
 
 
 def normalize_text(text: Column) -> Column:
@@ -63,9 +62,9 @@ def tokenize(text: Column) -> Column:
     return F.coalesce(F.filter(F.split(normalize_text(text), " "), lambda t: t != ""), F.array().cast("array<string>"))
 
 
-def token_keys(text: Column, stopwords: list[str] | None = None) -> Column:
+def token_keys(text: Column, field: str = "title", stop: list[str] | None = None) -> Column:
     """Distinct words other than stop words, of all languages together."""
-    return F.array_except(F.array_distinct(tokenize(text)), F.array(*map(F.lit, stopwords or all_stopwords())))
+    return F.array_except(F.array_distinct(tokenize(text)), F.array(*map(F.lit, stop or all_stopwords(field))))
 
 
 def value_key(text: Column) -> Column:
@@ -139,3 +138,10 @@ def dominant_script(text: Column) -> Column:
 
 def script_mismatch(a: Column, b: Column) -> Column:
     return F.coalesce(a != b, F.lit(False))
+
+
+def relative_time(then: Column, now: Column) -> Column:
+    """How long ago: minutes, hours, days or weeks; `just now` below a minute and for times to come."""
+    seconds = F.unix_timestamp(now) - F.unix_timestamp(then)
+    ago = lambda unit, mark: F.concat(F.floor(seconds / unit).cast("string"), F.lit(f"{mark} ago"))
+    return F.when(seconds < 60, "just now").when(seconds < 3600, ago(60, "m")).when(seconds < 86_400, ago(3600, "h")).when(seconds < 604_800, ago(86_400, "d")).otherwise(ago(604_800, "w"))

@@ -1,7 +1,7 @@
 """Evaluation of scores and linkages.
 
-Curves need sums in order of score. Rows are first counted by score, so the ordered window sees one row per distinct score
-(scores are rounded to `digits`, so these are bounded), not one per record.
+Curves need sums in order of score. Rows are first counted by score, so the ordered window sees one row per distinct score, not one per record.
+Scores are rounded to `digits` places first, which bounds these rows: areas are those of the rounded scores, exact where scores have no more places.
 """
 
 from __future__ import annotations
@@ -57,9 +57,63 @@ def gate_passes(measured: dict[str, float], baseline: dict[str, float], toleranc
     return {k: measured[k] >= baseline[k] - tolerance for k in ("precision", "recall")}
 
 
-def nearest_rank(rows: DataFrame, value: str, share: float) -> DataFrame:
-    """One row (value): the value at place floor(share * (n - 1)) in order, from counts per value."""
-    counts = rows.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    order = Window.partitionBy(F.lit(0)).orderBy(value)
-    placed = counts.withColumn("_run", F.sum("_n").over(order)).withColumn("_all", F.sum("_n").over(Window.partitionBy(F.lit(0))))
-    return placed.where(F.col("_run") > F.floor(F.lit(share) * (F.col("_all") - 1))).agg(F.min(value).alias(value))
+def nearest_rank(rows: DataFrame, value: str, share: float, bins: int = 4096, few: int = 100_000) -> DataFrame:
+    """One row (value): the value at place floor(share * (n - 1)) in order; none without rows. Nulls do not count.
+
+    The range that holds the place is cut into bins and counted, bin by bin, until its rows are few or equal; only these are put in order. Each
+    round is one aggregation to at most `bins` rows, so no task sorts the table.
+    """
+    numbers = rows.select(F.col(value).alias("v")).where(F.col("v").isNotNull())
+    low, high, n = numbers.agg(F.min("v"), F.max("v"), F.count(F.lit(1))).first()
+    if not n:
+        return rows.select(value).limit(0)
+    place, left = int(share * (n - 1)), n
+    inside = numbers
+    while left > few and low < high:
+        width = (float(high) - float(low)) / bins
+        at = F.least(F.floor((F.col("v").cast("double") - float(low)) / width), F.lit(bins - 1)).alias("at")
+        counts = sorted(tuple(r) for r in inside.groupBy(at).agg(F.count(F.lit(1)), F.min("v"), F.max("v")).collect())
+        for _, count, least, most in counts:
+            if place < count:
+                break
+            place -= count
+        if count == left and (least, most) == (low, high):
+            break  # no bin is narrower than the range itself
+        low, high, left = least, most, count
+        inside = numbers.where(F.col("v").between(low, high))
+    order = Window.partitionBy(F.lit(0)).orderBy("v")
+    placed = inside.groupBy("v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_run", F.sum("_n").over(order))
+    return placed.where(F.col("_run") > place).agg(F.min("v").alias(value))
+
+
+class LabelError(ValueError):
+    """A label is neither 0 nor 1."""
+
+
+def check_labels(scored: DataFrame) -> DataFrame:
+    """scored, if all its labels are 0 or 1; else an error. One aggregation."""
+    bad = scored.where(F.col("label").isNull() | ~F.col("label").isin(0, 1)).limit(1).count()
+    if bad:
+        raise LabelError("labels must be 0 or 1")
+    return scored
+
+
+def evaluation(top: DataFrame, truth: DataFrame, scored: DataFrame, key: str, other: str) -> DataFrame:
+    """One row with the linkage's precision, recall and F1, AUC and average precision of the scored labels, and the threshold sweep as an array."""
+    quality = linkage_quality(top, truth, key, other)
+    p, r = F.col("precision"), F.col("recall")
+    quality = quality.withColumn("f1", F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0))
+    sweep = threshold_sweep(scored).agg(F.sort_array(F.collect_list(F.struct("threshold", "precision", "recall", "f1", "tp", "fp", "fn"))).alias("sweep"))
+    return quality.crossJoin(roc_auc(scored)).crossJoin(average_precision(scored)).crossJoin(sweep)  # single rows
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """An evaluation as one JSON document."""
+    report.coalesce(1).write.mode("overwrite").json(path)
+
+
+def accuracy_by_category(predicted: DataFrame, category: str, threshold: float = 0.5) -> DataFrame:
+    """(category, n, accuracy) of rows (category array or value, score, label)."""
+    exploded = predicted.withColumn("_c", F.explode(F.col(category))) if predicted.schema[category].dataType.typeName() == "array" else predicted.withColumn("_c", F.col(category))
+    right = (F.col("score") >= threshold).cast("int") == F.col("label")
+    return exploded.groupBy(F.col("_c").alias(category)).agg(F.count(F.lit(1)).alias("n"), F.avg(right.cast("double")).alias("accuracy"))

@@ -38,3 +38,37 @@ def fanout(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     m = F.col("m")
     label = F.when(m <= 5, m.cast("string")).when(m <= 10, "6-10").when(m <= 50, "11-50").when(m <= 100, "51-100").otherwise("101+")
     return n.groupBy(label.alias("matches")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def joined_by_scheme(registrations: DataFrame, renewals: DataFrame) -> DataFrame:
+    """(scheme, joined, unique): renewals that find a registration by raw or normalised number, with day, year or neither, and how many find just one.
+
+    Both sides have id, raw, norm, day and year.
+    """
+    schemes = {"raw_day": ("raw", "day"), "norm_day": ("norm", "day"), "norm_year": ("norm", "year"), "norm": ("norm",)}
+    keyed = lambda df: df.select("id", F.explode(F.array(*(F.struct(F.lit(s).alias("scheme"), F.when(F.greatest(*(F.col(c).isNull() for c in cols)) if len(cols) > 1 else F.col(cols[0]).isNull(), None).otherwise(F.concat_ws("|", *(F.col(c).cast("string") for c in cols))).alias("k")) for s, cols in schemes.items()))).alias("e")).select("id", "e.scheme", "e.k").where("k is not null and k <> ''")
+    counts = keyed(registrations).groupBy("scheme", "k").agg(F.countDistinct("id").alias("m"))
+    hits = keyed(renewals).join(counts, ["scheme", "k"]).groupBy("scheme").agg(F.countDistinct("id").alias("joined"), F.count(F.when(F.col("m") == 1, 1)).alias("unique"))
+    return hits
+
+
+def class_folds(numbers: DataFrame, raw: str) -> DataFrame:
+    """(class, folded, n): how many numbers each class has before and after written-out classes are folded."""
+    from ..functions import identifiers
+
+    plain = F.regexp_extract(F.regexp_replace(F.upper(F.trim(raw)), "[^A-Z0-9]", ""), "^[A-Z]*", 0)
+    return numbers.groupBy(plain.alias("class"), identifiers.reg_class(F.col(raw)).alias("folded")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def range_sizes(registrations: DataFrame, raw: str) -> DataFrame:
+    """(size, n): registrations of several numbers by how many they have."""
+    from ..functions import identifiers
+
+    ranges = registrations.where(identifiers.is_multi_regnum(F.col(raw)))
+    return ranges.groupBy(F.size(F.split(F.trim(raw), r"\s+")).alias("size")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def recovered(hits: DataFrame, id_: str, own: str = "place") -> DataFrame:
+    """One row: records that join by their own number, and those that only an additional entry joins. hits has (id, place) of every key that found a renewal."""
+    first = hits.groupBy(id_).agg(F.min(own).alias("p"))
+    return first.agg(F.count(F.when(F.col("p") == 0, 1)).alias("own"), F.count(F.when(F.col("p") > 0, 1)).alias("additional"))

@@ -37,3 +37,45 @@ def candidates(queries: DataFrame, index: DataFrame, window: int = 0) -> DataFra
 def frequent_cut(frequencies: DataFrame, share: float) -> DataFrame:
     """Tokens that at most `share` of the records have."""
     return frequencies.where(F.col("df") <= share * F.col("n"))
+
+
+def blocking_tokens(asked: DataFrame, key: str) -> DataFrame:
+    """Rows of asked (key, token, rare) by which candidates are found: the rare tokens of a key, or all of them where it has no rare one."""
+    some = asked.groupBy(key).agg(F.max("rare").alias("_some"))
+    return asked.join(some, key).where(F.col("rare") | ~F.col("_some")).drop("_some")
+
+
+def weighted_overlap(asked: DataFrame, records: DataFrame, a: str, b: str, share: float) -> DataFrame:
+    """(a, b, shared, mass_a, mass_b, floor, k, best) of candidate pairs: the weight of the tokens both have and of all that each has, how many they share, the greatest weight.
+
+    asked and records hold (key, tokens). Candidates share a token that at most `share` of the records have (`blocking_tokens`); frequent tokens are cut before
+    the join and then count for these pairs only. Token arrays are laid out by record once and tokens by token once; the optimizer reuses both exchanges.
+    """
+    laid = records.select(b, "tokens").repartition(b)
+    terms = laid.select(b, F.explode("tokens").alias("token")).repartition("token")
+    n = records.agg(F.count(F.lit(1)).alias("n"))  # a single row
+    frequency = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df")).crossJoin(n)
+    weights = frequency.select("token", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"), (F.col("df") <= share * F.col("n")).alias("rare"))
+    known = terms.join(weights, "token")
+    mass_b = known.groupBy(b).agg(F.sum("idf").alias("mass_b"))
+    floor = n.select((F.log(F.col("n") + 1) + 1).alias("floor"))
+    words = asked.select(a, F.explode("tokens").alias("token")).join(weights, "token", "left").crossJoin(floor)
+    words = words.select(a, "token", F.coalesce("idf", "floor").alias("idf"), F.coalesce("rare", F.lit(False)).alias("rare"), "floor", F.col("rare").isNotNull().alias("known"))
+    sides = words.groupBy(a).agg(F.sum("idf").alias("mass_a"), F.max("floor").alias("floor"), F.collect_list("token").alias("_tokens"), F.map_from_entries(F.collect_list(F.struct("token", "idf"))).alias("_idf"))
+    keys = blocking_tokens(words.where("known"), a).select(a, "token")
+    candidates = terms.join(keys, "token").select(a, b).distinct()
+    rows = candidates.join(laid, b).join(sides, a)
+    hits = F.transform(F.array_intersect("tokens", "_tokens"), lambda t: F.element_at("_idf", t))
+    rows = rows.select(a, b, "mass_a", "floor", hits.alias("_hits"))
+    total = F.aggregate("_hits", F.lit(0.0), lambda x, y: x + y)
+    return rows.select(a, b, total.alias("shared"), "mass_a", "floor", F.size("_hits").alias("k"), F.array_max("_hits").alias("best")).join(mass_b, b)
+
+
+def point_lookup(wanted: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """The rows of table whose key is wanted, by an equi-join."""
+    return table.join(wanted.select(key).distinct(), key, "left_semi")
+
+
+def candidates_around(queries: DataFrame, index: DataFrame, year: Column, window: int = 0) -> DataFrame:
+    """Candidates as `candidates` finds them, centred on another year than the query's own; queries without one have none."""
+    return candidates(queries.withColumn("year", year.cast("int")).where("year is not null"), index, window)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,9 +81,45 @@ def marc_columns() -> dict[str, Column]:
     }
 
 
+def _raw_marc(spark: SparkSession, path: str) -> DataFrame:
+    """Records of the XML files at path: one file, or the *.xml files of a folder, not of those below."""
+    return _read(spark, path if path.endswith(".xml") or "*" in path else f"{path.rstrip('/')}/*.xml", "record", MARC_SCHEMA, False)
+
+
+def read_pool(spark: SparkSession, path: str, languages: tuple[str, ...]) -> DataFrame:
+    """Raw records of a pool with one folder per language, with their language; a language without a folder has none."""
+    rows = None
+    for language in languages:
+        try:
+            one = _raw_marc(spark, f"{path}/{language}").withColumn("pool_language", F.lit(language))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        rows = one if rows is None else rows.union(one)
+    return rows if rows is not None else spark.createDataFrame([], f"{MARC_SCHEMA}, pool_language string")
+
+
+def read_wanted(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """Raw records whose control id is in wanted (control_id)."""
+    ids = wanted.select(F.col("control_id").alias("_wanted")).distinct()
+    return _raw_marc(spark, path).join(ids, F.trim(_control("001")) == F.col("_wanted"), "left_semi")
+
+
+def parse_counts(spark: SparkSession, path: str) -> DataFrame:
+    """One row on the records at path: emitted, skipped by reason, titles repaired, years out of range."""
+    rows = _raw_marc(spark, path)
+    date = F.regexp_extract(F.coalesce(_first("c", "260", "264"), F.lit("")), r"(\d{4})", 1).try_cast("int")
+    raw = F.trim(_first("a", "245"))
+    named = F.coalesce(F.trim(_control("001")), F.lit("")) != ""
+    titled = trailing_clean(_first("a", "245")).isNotNull()
+    n = lambda c: F.count(F.when(c, 1))
+    return rows.agg(n(named & titled).alias("emitted"), n(~named).alias("no_control_id"), n(named & ~titled).alias("no_title"), n(raw != clean_text(raw)).alias("repaired"), n(~date.between(*MARC_YEARS)).alias("year_out_of_range"))
+
+
 def read_marc(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Catalogue records with an identifier and a title, and counts of the others by reason."""
-    rows = _read(spark, path, "record", MARC_SCHEMA, False).select("leader", *(c.alias(n) for n, c in marc_columns().items()))
+    rows = _raw_marc(spark, path).select("leader", *(c.alias(n) for n, c in marc_columns().items()))
     reason = F.when(F.col("control_id").isNull(), "no_control_id").when(F.col("title_main").isNull(), "no_title").otherwise("kept")
     counts = rows.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
     return rows.where("control_id is not null and title_main is not null").drop("leader"), counts
@@ -110,9 +147,23 @@ def is_electronic() -> Column:
 
 
 def eligible_marc(spark: SparkSession, path: str, min_year: int) -> DataFrame:
-    """(control_id, reason) of all records."""
-    rows = _read(spark, path, "record", MARC_SCHEMA, False)
-    return rows.select(F.trim(_control("001")).alias("control_id"), eligibility(min_year, F.col("leader"), _control("008"), is_electronic(), _first("a", "245")).alias("reason"))
+    """(control_id, reason, language) of all records."""
+    rows = _raw_marc(spark, path)
+    return rows.select(F.trim(_control("001")).alias("control_id"), eligibility(min_year, F.col("leader"), _control("008"), is_electronic(), _first("a", "245")).alias("reason"), F.substring(_control("008"), 36, 3).alias("language"))
+
+
+def moving_wall(today: Column | None = None) -> Column:
+    """The first year whose works may still be protected: 95 years before today's."""
+    return F.year(today if today is not None else F.current_date()) - 95
+
+
+def filtered(rows: DataFrame, languages: tuple[str, ...] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Of rows (reason, language, ...) the eligible ones, and (reason, n) of all; the allowed languages are tested last."""
+    reason = F.col("reason")
+    if languages is not None:
+        reason = F.when((reason == "eligible") & ~F.coalesce(F.col("language").isin(*languages), F.lit(False)), "language_not_asked").otherwise(reason)
+    judged = rows.withColumn("reason", reason)
+    return judged.where("reason = 'eligible'").drop("reason"), judged.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _dated_year(c: Column) -> Column:

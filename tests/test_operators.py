@@ -98,3 +98,133 @@ def test_query_equals_sql(spark, sql, name):
     cursor = sql.execute(f"select {', '.join(names)} from ({plans.ORACLE_SQL[name]}) q")
     want = sorted(repr(tuple(map(plain, r))) for r in cursor.fetchall())
     assert sorted(repr(tuple(plain(r[c]) for c in names)) for r in df.collect()) == want
+
+
+def test_nearest_rank_without_a_sort(spark):
+    import random
+
+    rng = random.Random(2)
+    values = [rng.random() ** 6 * 1e6 for _ in range(3000)] + [5.0] * 500 + [None]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    known = sorted(v for v in values if v is not None)
+    for share in (0.0, 0.25, 0.5, 0.9, 1.0):
+        assert metrics.nearest_rank(rows, "v", share, bins=16, few=40).first()["v"] == known[int(share * (len(known) - 1))]
+    assert metrics.nearest_rank(rows.limit(0), "v", 0.5).count() == 0
+    with pytest.raises(metrics.LabelError):
+        metrics.check_labels(scored(spark, [(0.5, 2)]))
+
+
+def test_overlap_of_frequent_and_rare_words(spark):
+    docs = spark.createDataFrame([(i, ["the", f"w{i}"] + (["rare"] if i < 2 else [])) for i in range(20)], "doc_id int, tokens array<string>")
+    items = spark.createDataFrame([(1, ["the", "rare"]), (2, ["the"]), (3, ["new"])], "item_id int, tokens array<string>")
+    got = {(r["item_id"], r["doc_id"]): r for r in retrieval.weighted_overlap(items, docs, "item_id", "doc_id", 0.2).collect()}
+    assert {k for k in got if k[0] == 1} == {(1, 0), (1, 1)} and len([k for k in got if k[0] == 2]) == 20 and not [k for k in got if k[0] == 3]
+    idf = lambda df: math.log(21 / (df + 1)) + 1
+    row = got[1, 0]
+    assert row["k"] == 2 and row["shared"] == pytest.approx(idf(20) + idf(2)) and row["mass_b"] == pytest.approx(idf(20) + idf(2) + idf(1)) and row["best"] == pytest.approx(idf(2))
+    assert retrieval.point_lookup(items.limit(1), items, "item_id").count() == 1
+
+
+def test_budget_selection_and_queue(spark):
+    table = labels.budget_table(spark)
+    assert table.count() == 25 and table.agg(F.sum("cap")).first()[0] == 2320
+    assert labels.budget_table(spark, 232).agg(F.min("cap")).first()[0] >= 1
+    with pytest.raises(ValueError):
+        labels.budget_table(spark, 0)
+    targets = {r["language"]: r["target"] for r in labels.language_targets(spark, 100).collect()}
+    assert targets == {"eng": 70, "fre": 8, "ger": 8, "ita": 8, "spa": 8}
+    records = spark.createDataFrame([(str(i), "eng", 1950 if i % 5 else None) for i in range(100)], "control_id string, language string, publication_year int")
+    known = records.where("control_id < '2'").select("control_id")
+    aims = spark.createDataFrame([("eng", 10), ("fre", 3)], "language string, target int")
+    drawn = labels.selected_records(records, known, aims)
+    assert drawn.count() == 10 and drawn.join(known, "control_id").count() == 0 and drawn.where("publication_year is null").count() == 0
+    plan = {r["language"]: r.asDict() for r in labels.selection_plan(records, known, aims).collect()}
+    assert plan["eng"]["selected"] == 10 and plan["fre"]["selected"] == 0 and plan["eng"]["excluded"] == known.count()
+    pairs = spark.createDataFrame([("m", f"u{i}", "eng", i / 100, i) for i in range(100)], "control_id string, uuid string, language string, calibrated double, seq int")
+    done = spark.createDataFrame([("m", "u99")], "marc_control_id string, nypl_uuid string")
+    caps = spark.createDataFrame([("eng", "ge90", 3), ("eng", "below", 4)], "language string, band string, cap int")
+    queue = labels.build_queue(pairs, done, caps)
+    assert sorted(r["uuid"] for r in queue.where("band = 'ge90'").collect()) == ["u90", "u91", "u92"] and queue.where("band = 'below'").count() == 4
+
+
+def test_label_views(spark):
+    vault = spark.createDataFrame([("m1", "u1", "match", "registration", ["a"], "Sea"), ("m1", "u2", "match", "registration", ["b"], "sky"), ("m2", "u3", "unsure", None, None, "SEA"), ("m3", "u1", "match", "renewal", ["a", "b"], None)],
+                                  "marc_control_id string, nypl_uuid string, verdict string, match_source string, categories array<string>, title string")
+    assert labels.gold_labels(vault).count() == 2
+    assert labels.truth_of(labels.gold_labels(vault), "nypl_uuid").first()["nypl_uuid"] == "u2"
+    assert labels.listed(vault, contains="sea", fields=("title",)).count() == 2 and labels.listed(vault, verdict="match", categories=("b",)).count() == 2
+    kept, dropped = labels.requeued(vault, ("unsure",))
+    assert kept.count() == 3 and dropped.first()["n"] == 1
+    picks = spark.createDataFrame([("m", "b", 0.5, 0.9), ("m", "a", 0.5, 0.2)], "k string, u string, x double, y double")
+    row = labels.dual_scores(picks, "k", "u", "x", "y").first()
+    assert (row["x_pick"], row["y_pick"], row["bucket"]) == ("a", "b", "informative") and row["gap"] == pytest.approx(1.4)
+    stats = {r["bucket"]: r["n"] for r in labels.bucket_statistics(labels.dual_scores(picks, "k", "u", "x", "y")).collect()}
+    assert stats == {"informative": 1, "agree_high": 0, "agree_low": 0}
+    marc, cce = spark.createDataFrame([("m1",), ("m2",)], "control_id string"), spark.createDataFrame([("u1", "A1", 1950, True, "R", None)], "uuid string, regnum string, reg_year int, was_renewed boolean, renewal_id string, renewal_date date")
+    found, counts = labels.resolved(vault, marc, cce)
+    assert found.count() == 1 and counts.first().asDict() == {"pairs": 4, "no_marc": 1, "no_cce": 2, "resolved": 1}
+    scores = spark.createDataFrame([("m1", "u1", 0.123456, None)], "marc_control_id string, nypl_uuid string, weighted_mean double, learned double")
+    assert labels.enriched(vault, cce, scores, "v").where("marc_control_id = 'm1' and nypl_uuid = 'u1'").first()["scores"]["weighted_mean"] == 0.1235
+
+
+def test_out_of_fold_and_artefacts(spark, tmp_path):
+    rows = spark.createDataFrame([(i // 2, float(i % 7), float(i % 3), int(i % 7 > 3)) for i in range(120)], "k int, x double, y double, label int")
+    options = {"trees": 3, "depth": 2}
+    held = learned.out_of_fold(rows, ["x", "y"], "k", 3, **options)
+    assert held.count() == 120 and learned.cross_validated(rows, ["x", "y"], "k", 3, **options).first()["auc"] > 0.95
+    model = learned.train(rows, ["x", "y"], **options)
+    assert {r["feature"]: r["importance"] for r in learned.importance(model, ["x", "y"]).collect()}["x"] > 0.9
+    learned.save(model, str(tmp_path / "m"))
+    again = learned.load(spark, str(tmp_path / "m"), ["x", "y"])
+    assert learned.predict(again, rows, ["x", "y"]).count() == 120
+    with pytest.raises(learned.FeatureMismatch):
+        learned.load(spark, str(tmp_path / "m"), ["y", "x"])
+    renewals = spark.createDataFrame([(str(i), *(float((i * j) % 5) for j in range(1, 8)), None, i % 2) for i in range(60)], "k string, " + ", ".join(f"{c} double" for c in learned.RENEWAL_FEATURES) + ", label int")
+    assert learned.renewal_matcher(renewals, "k", wide=True, folds=2).where("score between 0 and 1").count() == 60
+
+
+def test_join_measurements(spark):
+    from ledgerloom.operators import renewal
+
+    schema = "id string, raw string, norm string, day string, year int"
+    regs = spark.createDataFrame([("a", "A-1", "A1", "1950-01-01", 1950), ("b", "A 1", "A1", None, 1951)], schema)
+    rens = spark.createDataFrame([("r", "A1", "A1", "1950-02-01", 1950), ("s", "A-1", "A1", "1950-01-01", 1950)], schema)
+    got = {r["scheme"]: (r["joined"], r["unique"]) for r in renewal.joined_by_scheme(regs, rens).collect()}
+    assert got == {"raw_day": (1, 1), "norm_day": (1, 1), "norm_year": (2, 2), "norm": (2, 0)}
+    numbers = spark.createDataFrame([("A foreign 12",), ("AF12",), ("A1 A2",)], "n string")
+    assert {(r["class"], r["folded"]) for r in renewal.class_folds(numbers, "n").collect()} == {("AFOREIGN", "AF"), ("AF", "AF"), ("A", "A")}
+    assert [tuple(r) for r in renewal.range_sizes(numbers, "n").collect()] == [(2, 1)]
+
+
+def test_streams_report_and_stop(spark, tmp_path):
+    from ledgerloom.streaming import upserts
+
+    spark.createDataFrame([(i, i % 5) for i in range(40)], "i int, k int").repartition(4).write.parquet(str(tmp_path / "t"))
+    spark.createDataFrame([(99, 99)], "i int, k int").write.parquet(str(tmp_path / "t.old"))
+    got = upserts.latest_of_files(spark, str(tmp_path / "t"), ["k"], ["i"], parts=3)
+    assert sorted((r["k"], r["i"]) for r in got.collect()) == [(k, 35 + k) for k in range(5)]
+    watch = upserts.Progress(stall=2)
+    spark.streams.addListener(watch)
+    query = spark.readStream.schema("i int, k int").parquet(str(tmp_path / "t")).writeStream.format("noop").start()
+    query.processAllAvailable()
+    assert upserts.stop_gracefully(query)
+    import time
+
+    for _ in range(50):
+        if watch.ended:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(watch)
+    assert watch.rows == 40 and not watch.stalled and watch.ended
+    lines = spark.createDataFrame([('{"a": 1}',), ("{bad",), ('{"a": 2}',)], "value string")
+    good, seen = upserts.counted_records(lines, "a int")
+    assert good.count() == 2 and seen.get == {"kept": 2, "skipped": 1}
+
+
+def test_relative_times(spark):
+    from ledgerloom.functions import identifiers, text
+
+    rows = spark.createDataFrame([(s,) for s in ("2026-01-01 11:59:30", "2026-01-01 11:57:00", "2026-01-01 07:00:00", "2025-12-30 12:00:00", "2025-12-01 12:00:00")], "t string")
+    got = [r[0] for r in rows.select(text.relative_time(F.col("t").cast("timestamp"), F.lit("2026-01-01 12:00:00").cast("timestamp"))).collect()]
+    assert got == ["just now", "3m ago", "5h ago", "2d ago", "4w ago"]
+    assert rows.select(identifiers.lccn_url(F.lit("50001234")), identifiers.oclc_url(F.lit(""))).first()[1] is None

@@ -95,3 +95,76 @@ def test_vault_and_linkage(spark, tmp_path):
     rows = spark.createDataFrame([("1", "2", None), ("3", "", "x")], "marc_control_id string, match_id string, note string")
     tables.write_linkage(rows, str(tmp_path / "out"), matches_only=True)
     assert [r.asDict() for r in spark.read.json(str(tmp_path / "out")).collect()] == [{"marc_control_id": "1", "match_id": "2", "note": ""}]
+
+
+def test_commands_from_files_to_report(spark, files, capsys):
+    import json
+
+    from ledgerloom import cli
+
+    at = lambda name: str(files / name)
+    run = lambda *args: cli.main([*args], spark)
+    first = run("index-build", "--registrations", at("reg"), "--renewals", at("ren.tsv"), "--index", at("index"))
+    assert first["built"] and first["registrations"] == 5 and first["joined"] == 3 and first["ranges"] == 1 and first["propagated"] == 1
+    assert not run("index-build", "--registrations", at("reg"), "--renewals", at("ren.tsv"), "--index", at("index"))["built"]
+    assert run("index-build", "--registrations", at("reg"), "--renewals", at("ren.tsv"), "--index", at("index"), "--force")["built"]
+    assert run("index-info", "--index", at("index"))["last"] == 1965
+    assert run("prepare-marc", "--marc", at("marc.xml"), "--out", at("prepared"))["written"] and not run("prepare-marc", "--marc", at("marc.xml"), "--out", at("prepared"))["written"]
+    run("match", "--index", at("index"), "--prepared", at("prepared"), "--out", at("linkage"), "--min-score", "5")
+    rows = {r["marc_id"]: r for r in spark.read.json(at("linkage")).collect()}
+    assert set(rows) == {"m1", "m3"} and rows["m1"]["match_source_id"] == "u1" and rows["m1"]["match_renewal_id"] == "R1" and rows["m3"]["match_type"] == ""
+    entry = {"schema": 8, "marc_control_id": "m1", "nypl_uuid": "u1", "verdict": "match", "labeled_at": "2026-01-01", "match_source": "registration"}
+    (files / "vault.jsonl").write_text("\n".join(json.dumps(e) for e in (entry, entry | {"nypl_uuid": "u4", "verdict": "unsure"}, entry | {"marc_control_id": "m3", "nypl_uuid": "u2", "verdict": "no_match"})))
+    report = run("eval", "--index", at("index"), "--prepared", at("prepared"), "--vault", at("vault.jsonl"), "--min-score", "5", "--report", at("report"))
+    assert report["evaluated"] == 1 and report["correct"] == 1 and report["f1"] == 1.0
+    assert len(spark.read.json(at("report")).first()["sweep"]) == 21
+
+
+def test_pools_and_wanted_records(spark, files):
+    (files / "pool/eng").mkdir(parents=True)
+    (files / "pool/eng/a.xml").write_text(MARC.format(f1=fixed(1949), f3=fixed(1961)), "utf-8")
+    pool = xml.read_pool(spark, str(files / "pool"), ("eng", "fre"))
+    assert {r["pool_language"]: r["count"] for r in pool.groupBy("pool_language").count().collect()} == {"eng": 4}
+    assert xml.read_pool(spark, str(files / "pool"), ("xxx",)).count() == 0
+    vault = spark.createDataFrame([("m3", "u1"), ("m9", "u1")], "marc_control_id string, nypl_uuid string")
+    tables.vault_marcs(spark, vault, str(files / "pool/eng"), str(files / "dump"))
+    assert [r["control_id"] for r in xml.read_marc(spark, f"{files}/dump/*")[0].collect()] == ["m3"]
+    counts = xml.parse_counts(spark, str(files / "marc.xml")).first()
+    assert (counts["emitted"], counts["no_control_id"], counts["no_title"]) == (2, 1, 1)
+
+
+def test_filter_with_reasons(spark):
+    rows = spark.createDataFrame([("1", "eligible", "eng"), ("2", "eligible", "fre"), ("3", "too_late", "eng")], "control_id string, reason string, language string")
+    kept, counts = xml.filtered(rows, ("eng",))
+    assert [r["control_id"] for r in kept.collect()] == ["1"] and {r["reason"]: r["n"] for r in counts.collect()} == {"eligible": 1, "language_not_asked": 1, "too_late": 1}
+    assert spark.range(1).select(xml.moving_wall(F.lit("2026-05-01").cast("date"))).first()[0] == 1931
+
+
+def test_cells_of_other_encodings(spark, tmp_path):
+    row = ["x"] * len(tables.HEADER)
+    good, bad = b"\t".join(c.encode() for c in row), b"\t".join([b"y"] * 5 + ["שלום".encode("cp1255")] + [b"z"] * 11)
+    (tmp_path / "r.tsv").write_bytes(b"\n".join(["\t".join(tables.HEADER).encode(), good, bad]))
+    got = {r["entry_id"]: r["author"] for r in tables.read_renewals(spark, str(tmp_path / "r.tsv")).collect()}
+    assert got == {"x": "x", "y": "שלום"}
+
+
+def test_caches_and_stores(spark, tmp_path):
+    built = []
+    build = lambda: built.append(1) or spark.createDataFrame([("a", 1.0)], "token string, idf double")
+    for digest in ("h1", "h1", "h2"):
+        assert tables.cached_frequencies(spark, str(tmp_path / "idf"), digest, "eng", build).count() == 1
+    assert len(built) == 2
+    pairs = spark.createDataFrame([(1, "eng", "x"), (2, "fre", "y")], "id int, language string, v string")
+    tables.append_review(pairs, str(tmp_path / "review"))
+    tables.append_review(pairs.union(spark.createDataFrame([(3, "eng", "z")], pairs.schema)), str(tmp_path / "review"))
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "review")).collect()) == [1, 2, 3]
+    (tmp_path / "old.jsonl").write_text('{"schema": 3, "marc_control_id": "m", "nypl_uuid": "u", "verdict": "match", "category": "typo"}\n')
+    row = tables.migrated_vault(spark, str(tmp_path / "old.jsonl")).first()
+    assert (row["schema"], row["was_renewed"], row["match_source"]) == (8, False, "registration")
+    assert tables.read_vault_lines(spark, str(tmp_path / "old.jsonl")).count() == 1
+    (tmp_path / "houses.json").write_text('[{"canonical": "Knopf", "aliases": ["Alfred A. Knopf, Inc."], "imprints": ["Borzoi Books"]}]')
+    from ledgerloom.functions import identifiers
+
+    index = identifiers.alias_index(tables.read_publishers(spark, str(tmp_path / "houses.json")))
+    named = spark.createDataFrame([("The Borzoi Press",), ("Alfred A. Knopf",), ("Other",)], "name string")
+    assert [r["canonical"] for r in identifiers.with_house(named, "name", index).orderBy("name").collect()] == ["Knopf", None, "Knopf"]
