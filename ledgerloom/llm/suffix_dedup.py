@@ -39,6 +39,8 @@ from .common import discard, flat_text, schema_with, split_rows, stored, text_or
 
 LENGTH = 400
 GRAM = 64
+#: Bytes of text that are hashed in one go; the hashes and their minima take some hundred times that.
+SLICE = 1 << 19
 #: Texts with one hash above which the hash is dealt out by its windows.
 HOT = 1024
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -105,7 +107,7 @@ def anchor_hashes(texts: DataFrame, length: int) -> DataFrame:
     """(h, k1, k2, n): the anchor hashes of each text, the halves of its key, and how often it has the hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in split_rows(batches, "text"):
+        for batch in split_rows(batches, "text", SLICE):
             raw, offsets = flat_text(batch.column("text"))
             text, _, h, _, _ = anchors(raw, offsets, length)
             order = np.lexsort((h, text))
@@ -126,7 +128,7 @@ def contexts(wanted: DataFrame, length: int) -> DataFrame:
     """From (key, text, hs): per repeated hash (h, hot) of a text its contexts, the left one reversed, and the places that have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in split_rows(batches, "text"):
+        for batch in split_rows(batches, "text", SLICE):
             raw, offsets = flat_text(batch.column("text"))
             text, place, h, least, most = anchors(raw, offsets, length)
             keys, lists = batch.column("key").to_pylist(), batch.column("hs")
@@ -381,7 +383,7 @@ def apply(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), length: int = LE
     info = spans(docs, length, hot).select(F.col("key").alias("_k"), F.col("n").alias("_n"), F.col("spans").alias("_spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in split_rows(batches, "_text"):
+        for batch in split_rows(batches, "_text", SLICE):
             columns: dict[str, list] = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")}
             for text, n, places in zip(*(batch.column(c).to_pylist() for c in ("_text", "_n", "_spans")), strict=True):
                 raw = text.encode("utf-8")
