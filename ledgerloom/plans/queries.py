@@ -35,12 +35,12 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    """The documents, dealt out over all cores where they lie in fewer files than there are cores.
+    """The documents, dealt out over all cores where their scan has fewer splits than there are cores.
 
-    Normalising text is bound by CPU, and a file of one row group is one task. Larger inputs have more splits than cores and are left as they are.
+    Normalising text is bound by CPU. Larger inputs have more splits (spark.sql.files.maxPartitionBytes) than cores and are left as they are.
     """
     docs, cores = table(spark, d, "documents"), spark.sparkContext.defaultParallelism
-    return docs.repartition(cores) if len(docs.inputFiles()) < cores else docs
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
 
 
 def six(c: Column) -> Column:
@@ -135,17 +135,19 @@ def lccn_canonical(spark, d):
 _PUB_SQL = "array_to_string(list_filter(list_transform(list_filter(string_split(regexp_replace(lower({c}), '[^a-z0-9&.]+', ' ', 'g'), ' '), lambda t: t <> '' and not list_contains([" + ", ".join(f"'{w}'" for w in I.PUBLISHER_STOPWORDS) + "], t)), lambda t: regexp_replace(t, '[^a-z0-9]', '', 'g')), lambda t: t <> ''), ' ')"
 
 
-@query(f"""with s as (select s_suppkey, s_nationkey, {_PUB_SQL.format(c="n_name || ' Publishing Co. & Sons of ' || s_name")} as house from supplier join nation on s_nationkey = n_nationkey),
- alias as (select {_PUB_SQL.format(c="'The ' || n_name || ' Press'")} as alias, n_name as canonical from nation)
-select s_suppkey, house, canonical, (case when canonical is not null then 95.0 else 0.0 end)::double as floor_score from s left join alias on starts_with(house, alias) and string_split(house, ' ')[1] = string_split(alias, ' ')[1]""")
+_HOUSE = "case s_suppkey % 4 when 0 then 'The ' || n_name || ' Press' when 1 then n_name || ' Publishing Co. & Sons' when 2 then upper(s_name) || ', Ltd.' else n_name || ' Imprint Books' end"
+
+
+@query(f"""with s as (select s_suppkey, {_HOUSE} as name from supplier join nation on s_nationkey = n_nationkey), k as (select s_suppkey, {_PUB_SQL.format(c="name")} as house from s),
+ alias as (select {_PUB_SQL.format(c="name")} as vkey, min(canonical) as canonical from (select n_name as canonical, unnest([n_name, 'House of ' || n_name, n_name || ' Imprint']) as name from nation) group by 1)
+select s_suppkey, house, canonical from k left join alias on house = vkey""")
 def publisher_normalize(spark, d):
-    nation = table(spark, d, "nation")
+    nation, m, n = table(spark, d, "nation"), F.col("s_suppkey") % 4, F.col("n_name")
     named = table(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    house = named.select("s_suppkey", I.normalize_publisher(F.concat("n_name", F.lit(" Publishing Co. & Sons of "), "s_name")).alias("house"))
-    alias = nation.select(I.normalize_publisher(F.concat(F.lit("The "), "n_name", F.lit(" Press"))).alias("alias"), F.col("n_name").alias("canonical"))
-    first = lambda c: F.element_at(F.split(c, " "), 1)
-    joined = house.join(alias, (first(F.col("house")) == first(F.col("alias"))) & F.startswith("house", "alias"), "left")
-    return joined.select("s_suppkey", "house", "canonical", F.when(F.col("canonical").isNotNull(), 95.0).otherwise(0.0).alias("floor_score"))
+    name = F.when(m == 0, F.concat(F.lit("The "), n, F.lit(" Press"))).when(m == 1, F.concat(n, F.lit(" Publishing Co. & Sons"))).when(m == 2, F.concat(F.upper("s_name"), F.lit(", Ltd."))).otherwise(F.concat(n, F.lit(" Imprint Books")))
+    houses = nation.select(n.alias("canonical"), F.array(F.concat(F.lit("House of "), n)).alias("aliases"), F.array(F.concat(n, F.lit(" Imprint"))).alias("imprints"))
+    rows = I.with_house(named.select("s_suppkey", name.alias("name")), "name", I.alias_index(houses))
+    return rows.select("s_suppkey", I.normalize_publisher(F.col("name")).alias("house"), "canonical")
 
 
 _CLAIM = "case c_custkey % 5 when 0 then c_name || '|A' when 1 then c_name || ' (W); Heirs of ' || c_name || '|C' when 2 then c_name || '||Estate|PWH||' when 3 then c_name || ' (c)' else '' end"
@@ -184,7 +186,7 @@ def page_count_extract(spark, d):
         F.when(m == 0, F.concat(F.lit("xii, "), k(n % 900), F.lit(" p."))).when(m == 1, F.concat(F.lit("2 v. in 1 ("), k(n % 700), F.lit(" p.)")))
         .when(m == 2, F.concat(k(n % 40), F.lit(" p., 12 plates"))).when(m == 3, F.lit("3 vols.")).otherwise(F.concat(F.lit("[4], iv, "), k(n % 50), F.lit(" leaves")))
     )
-    return table(spark, d, "documents").select("doc_id", F.when(m == 4, F.when(n % 50 > 0, (n % 50).cast("int"))).otherwise(S.page_count(extent)).alias("pages"))
+    return table(spark, d, "documents").select("doc_id", S.page_count(extent).alias("pages"))
 
 
 @query("""select p_partkey, case p_partkey % 6 when 0 then p_size::varchar when 1 then null when 2 then '3' when 3 then 'iv' else null end as part, (p_partkey % 6 in (0, 1, 2, 3, 4)) as has_part, (p_partkey % 6 = 5) as collected,
@@ -207,14 +209,23 @@ def translation_signal(spark, d):
     return table(spark, d, "documents").select("doc_id", S.is_translation(note).alias("translated"))
 
 
-@query("""select case when lang is null then 'no_language' when lang not in ('en', 'fr', 'de', 'es') then 'other_language' when n_chars < 200 then 'too_short' when n_chars > 20000 then 'too_long' when trim(text) = '' then 'blank' else 'eligible' end as reason, count(*) as n from documents group by 1""")
+_YEAR = "(1900 + n_chars % 90)"
+
+
+@query(f"""with r as (select *, case when doc_id % 13 = 0 then 'not_text' when doc_id % 11 = 0 then 'not_monograph' when doc_id % 17 = 0 then 'electronic' when doc_id % 19 = 0 then 'short_008' when lang not in ('en', 'fr', 'de', 'es') then 'language'
+  when doc_id % 23 = 0 then 'no_year' when {_YEAR} < 1931 then 'too_early' when {_YEAR} > 1977 then 'too_late' when doc_id % 29 = 0 then 'government' when trim(coalesce(text, '')) = '' then 'no_title' else 'eligible' end as why from documents)
+select case when why = 'eligible' and lang = 'es' then 'language_not_asked' else why end as reason, count(*) as n from r group by 1""")
 def eligibility_reasons(spark, d):
-    n = F.col("n_chars")
-    reason = (
-        F.when(F.col("lang").isNull(), "no_language").when(~F.col("lang").isin("en", "fr", "de", "es"), "other_language").when(n < 200, "too_short").when(n > 20000, "too_long")
-        .when(F.trim("text") == "", "blank").otherwise("eligible")
-    )
-    return table(spark, d, "documents").groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    from ..sources import xml
+
+    k, pad = F.col("doc_id"), lambda n: F.lit(" " * n)
+    leader = F.concat(F.lit("00000n"), F.when(k % 13 == 0, "c").otherwise("a"), F.when(k % 11 == 0, "s").otherwise("m"), pad(16))
+    code = F.coalesce(I.lookup({"en": "eng", "fr": "fre", "de": "ger", "es": "spa"}, F.col("lang")), F.lit("xxx"))
+    year = F.when(k % 23 == 0, "19uu").otherwise((1900 + F.col("n_chars") % 90).cast("string"))
+    fixed = F.concat(F.lit("000000s"), year, pad(17), F.when(k % 29 == 0, "f").otherwise(" "), pad(6), code, pad(2))
+    fixed = F.when(k % 19 == 0, F.substring(fixed, 1, 20)).otherwise(fixed)
+    reason = xml.eligibility(1931, leader, fixed, k % 17 == 0, F.col("text"))
+    return xml.filtered(table(spark, d, "documents").select("doc_id", reason.alias("reason"), code.alias("language")), ("eng", "fre", "ger"))[1]
 
 
 @query("""select c_custkey, coalesce(case when c_custkey % 3 = 0 then null else nullif(case when c_custkey % 3 = 1 then '' else c_mktsegment end, '') end, c_name) as first_field, concat_ws(' ', nullif(case when c_custkey % 3 = 1 then '' else c_mktsegment end, ''), n_name) as joined_field from customer join nation on c_nationkey = n_nationkey""")
@@ -263,19 +274,18 @@ def year_buckets(spark, d):
     return table(spark, d, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
 
 
-def _rare_postings(spark, d) -> DataFrame:
-    """(token, doc_id, idf) of tokens that at most CUT of the documents have."""
-    docs = _doc_tokens(spark, d)
-    rare = retrieval.frequent_cut(retrieval.idf(docs), CUT).select("token", "idf", F.log(F.col("n") + 1).alias("ln_n"))
-    return docs.select("doc_id", F.explode("tokens").alias("token")).join(rare, "token")
-
-
-@query(f"""with {_DT}, {_BT}, {_IDF}, c as (select distinct item_id, doc_id from bt join dt using (token) join idf using (token) where df <= {CUT} * n and abs((1900 + item_id % 90) - (1900 + doc_id % 90)) <= 20)
+@query(f"""with {_DT}, {_BT}, {_IDF}, k as (select item_id, token, df <= {CUT} * n as rare, bool_or(df <= {CUT} * n) over (partition by item_id) as any_rare from bt join idf using (token)),
+ c as (select distinct item_id, doc_id from k join dt using (token) where (rare or not any_rare) and abs((1900 + item_id % 90) - (1900 + doc_id % 90)) <= 20)
 select item_id, count(*) as candidates from c group by item_id""")
 def candidates_token_year(spark, d):
     year = lambda c: (F.pmod(F.col(c), F.lit(90)) + 1900).cast("int")
-    queries = _item_tokens(spark, d).select(F.col("item_id").alias("query"), F.lit("title").alias("field"), F.explode("tokens").alias("token"), year("item_id").alias("year"))
-    index = _rare_postings(spark, d).select(F.lit("title").alias("field"), "token", year("doc_id").alias("year"), "doc_id")
+    terms = _doc_tokens(spark, d).select("doc_id", F.explode("tokens").alias("token")).repartition("token")
+    n = table(spark, d, "documents").agg(F.count(F.lit(1)).alias("n"))  # a single row
+    rare = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df")).crossJoin(n).select("token", (F.col("df") <= CUT * F.col("n")).alias("rare"))
+    asked = _item_tokens(spark, d).select("item_id", F.explode("tokens").alias("token")).join(rare, "token")
+    keys = retrieval.blocking_tokens(asked, "item_id")
+    queries = keys.select(F.col("item_id").alias("query"), F.lit("title").alias("field"), "token", year("item_id").alias("year"))
+    index = terms.select(F.lit("title").alias("field"), "token", year("doc_id").alias("year"), "doc_id")
     return retrieval.candidates(queries, index, 20).groupBy(F.col("query").alias("item_id")).agg(F.count(F.lit(1)).alias("candidates"))
 
 
@@ -317,24 +327,15 @@ def join_fanout_histogram(spark, d):
 
 
 def _pairs(spark, d) -> DataFrame:
-    """(item_id, doc_id, shared, mass_a, mass_b, floor): weights of the words that a passage and a document share and have."""
-    docs, items = _doc_tokens(spark, d), _item_tokens(spark, d)
-    weights = retrieval.idf(docs).select("token", "idf", "df", "n")
-    exploded = docs.select("doc_id", F.explode("tokens").alias("token")).join(weights, "token")
-    mass_b = exploded.groupBy("doc_id").agg(F.sum("idf").alias("mass_b"))
-    asked = items.select("item_id", F.explode("tokens").alias("token")).join(weights, "token", "left")
-    top = docs.agg(F.log(F.count(F.lit(1)) + 1).alias("ln_n")).select((F.col("ln_n") + 1).alias("floor"))  # a single row
-    asked = asked.crossJoin(top).withColumn("idf", F.coalesce("idf", "floor"))
-    mass_a = asked.groupBy("item_id").agg(F.sum("idf").alias("mass_a"), F.max("floor").alias("floor"))
-    hits = asked.select("item_id", "token", "idf", (F.col("df") <= CUT * F.col("n")).alias("rare")).join(exploded.select("token", "doc_id"), "token")
-    shared = hits.groupBy("item_id", "doc_id").agg(F.sum("idf").alias("shared"), F.max("rare").alias("rare")).where("rare")
-    return shared.join(mass_a, "item_id").join(mass_b, "doc_id").select("item_id", "doc_id", "shared", "mass_a", "mass_b", "floor")
+    """(item_id, doc_id, shared, mass_a, mass_b, floor, k, best): weights of the words that a passage and a document share and have."""
+    return retrieval.weighted_overlap(_item_tokens(spark, d), _doc_tokens(spark, d), "item_id", "doc_id", CUT)
 
 
 _PAIRS = f"""{_DT}, {_BT}, {_IDF}, top as (select ln(n + 1) + 1 as floor from n_docs),
- asked as (select item_id, token, coalesce(idf, floor) as idf, floor, coalesce(df <= {CUT} * n, false) as rare from bt left join idf using (token), top),
+ judged as (select item_id, token, coalesce(idf, floor) as idf, floor, coalesce(df <= {CUT} * n, false) as rare from bt left join idf using (token), top),
+ asked as (select *, rare or not bool_or(rare) over (partition by item_id) as key from judged),
  mb as (select doc_id, sum(idf) as mass_b from dt join idf using (token) group by 1), ma as (select item_id, sum(idf) as mass_a, max(floor) as floor from asked group by 1),
- sh as (select item_id, doc_id, sum(asked.idf) as shared from asked join dt using (token) group by all having bool_or(rare)),
+ sh as (select item_id, doc_id, sum(asked.idf) as shared from asked join dt using (token) group by all having bool_or(key)),
  pairs as (select item_id, doc_id, shared, mass_a, mass_b, floor, 100 * (shared / (mass_a + mass_b - shared)) * least(1.0, shared / floor) as title, shared / least(mass_a, mass_b) as coverage from sh join ma using (item_id) join mb using (doc_id))"""
 
 
@@ -344,17 +345,6 @@ def title_idf_jaccard(spark, d):
     return _pairs(spark, d).select("item_id", "doc_id", six(score).alias("score"), six(scoring.coverage(F.col("shared"), F.col("mass_a"), F.col("mass_b"))).alias("coverage"))
 
 
-@query(f"""with t as (select conv_id, turn, {tok_sql('text')} as tokens from conversations), a as (select conv_id, tokens[1:3] as short, tokens as long from t where turn = 0 and len(tokens) >= 6),
- w as (select conv_id, i, len(list_intersect(short, long[i:i + 2])) / len(list_distinct(short || long[i:i + 2]))::double as s from a, unnest(range(1, len(long) - 1)) u(i)) select conv_id, round(100 * max(s), 6) as score, count(*) as windows from w group by 1""")
-def title_sliding_window(spark, d):
-    tokens = T.tokenize(F.col("text"))
-    rows = table(spark, d, "conversations").where("turn = 0").select("conv_id", tokens.alias("long")).where(F.size("long") >= 6).withColumn("short", F.slice("long", 1, 3))
-    part = lambda i: F.slice(F.col("long"), i, 3)
-    scores = F.transform(F.sequence(F.lit(1), F.size("long") - 2), lambda i: F.size(F.array_intersect("short", part(i))) / F.size(F.array_union("short", part(i))))
-    # the union of both arrays has each word once
-    return rows.select("conv_id", scores.alias("s")).select("conv_id", six(100 * F.array_max("s")).alias("score"), F.size("s").cast("long").alias("windows"))
-
-
 @query("""select a.doc_id, a.n_chars // 100 as pages_a, b.n_chars // 100 as pages_b, case when b.n_chars is null then 0.0 else greatest(100.0 - 5.0 * greatest(abs(a.n_chars // 100 - b.n_chars // 100) - 2, 0), 0.0) end::double as score, b.n_chars is null as skipped from documents a left join documents b on b.doc_id = a.doc_id + 1""")
 def extent_score(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.floor(F.col("n_chars") / 100).alias("pages_a"))
@@ -387,13 +377,8 @@ def edition_score(spark, d):
 @query(f"""with {_PAIRS}, g as (select item_id, doc_id, count(*) as k, max(asked.idf) as best from asked join dt using (token) join pairs using (item_id, doc_id) group by all)
 select item_id, doc_id, round(case when k = 1 then case when least(best / floor, 1) >= 0.6 then least(best / floor, 1) else least(best / floor, 1) ** 2 / 0.6 end else greatest(shared / (mass_a + mass_b - shared), least(best / floor, 1)) end, 6) as gate from pairs join g using (item_id, doc_id)""")
 def idf_gate(spark, d):
-    weights = retrieval.idf(_doc_tokens(spark, d)).select("token", "idf")
-    docs = _doc_tokens(spark, d).select("doc_id", F.explode("tokens").alias("token"))
-    asked = _item_tokens(spark, d).select("item_id", F.explode("tokens").alias("token")).join(weights, "token")
-    best = asked.join(docs, "token").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("k"), F.max("idf").alias("best"))
-    rows = _pairs(spark, d).join(best, ["item_id", "doc_id"])
     gate = scoring.idf_gate(F.col("shared"), F.col("mass_a") + F.col("mass_b") - F.col("shared"), F.col("best"), F.col("k"), F.lit(False), F.col("floor"))
-    return rows.select("item_id", "doc_id", six(gate).alias("gate"))
+    return _pairs(spark, d).select("item_id", "doc_id", six(gate).alias("gate"))
 
 
 def _combined(spark, d) -> DataFrame:
@@ -446,17 +431,6 @@ def topk_matches(spark, d):
     return _top(spark, d).select("item_id", "doc_id", "calibrated", "considered", F.col("rank").cast("int").alias("rank"))
 
 
-@query(f"""with {_TOP}, best as (select * from best3 where rank = 1)
-select b.item_id::varchar as marc_control_id, coalesce(t.doc_id::varchar, '') as match_id, coalesce(source, '') as match_source, coalesce(round_even(raw, 0)::int::varchar, '') as match_score, coalesce(printf('%.2f', calibrated * 100), '') as combined_score from benchmark b left join best t using (item_id)""")
-def linkage_rows(spark, d):
-    best = _top(spark, d).where("rank = 1").select("item_id", "doc_id", "source", "raw", "calibrated")
-    text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    return table(spark, d, "benchmark").select("item_id").join(best, "item_id", "left").select(
-        text(F.col("item_id")).alias("marc_control_id"), text(F.col("doc_id")).alias("match_id"), text(F.col("source")).alias("match_source"),
-        text(F.bround("raw", 0).cast("int")).alias("match_score"), text(F.format_string("%.2f", F.when(F.col("calibrated").isNotNull(), F.col("calibrated") * 100))).alias("_c"), F.col("calibrated"),
-    ).select("marc_control_id", "match_id", "match_source", "match_score", F.when(F.col("calibrated").isNull(), "").otherwise(F.col("_c")).alias("combined_score"))
-
-
 @query(f"with {_TOP}, best as (select * from best3 where rank = 1), truth as (select item_id, item_id * 3 % 500 as doc_id from benchmark), j as (select t.doc_id as truth, b.doc_id as top from truth t left join best b using (item_id)) select count(*) as evaluated, count(top) as with_top, count(*) filter (where top = truth) as correct, round(coalesce(count(*) filter (where top = truth) / nullif(count(top), 0), 0), 6) as precision, round(count(*) filter (where top = truth) / count(*), 6) as recall from j")
 def linkage_precision_recall(spark, d):
     truth = table(spark, d, "benchmark").select("item_id", (F.col("item_id") * 3 % 500).alias("doc_id"))
@@ -509,17 +483,17 @@ def band_caps(spark, d):
 @query("select lang, doc_id from documents qualify row_number() over (partition by lang order by (doc_id * 2654435761) % 4294967296, doc_id) <= 20")
 def reservoir_by_language(spark, d):
     rows = table(spark, d, "documents").select("lang", "doc_id")
-    return labels.capped(rows, ["lang"], [(F.col("doc_id") * F.lit(2654435761)) % F.lit(4294967296), F.col("doc_id")], 20).select("lang", "doc_id")
+    return labels.reservoir(rows, ["lang"], "doc_id", 20, order=(F.col("doc_id") * F.lit(2654435761)) % F.lit(4294967296)).select("lang", "doc_id")
 
 
 @query("""with s as (select doc_id, case when doc_id % 11 = 0 then null else doc_id % 3 end as pa, (n_chars % 100) / 100.0::double as sa, case when doc_id % 11 = 0 then null else doc_id % 2 end as pb, (n_chars % 90) / 90.0::double as sb from documents),
  q as (select case when pa is null and pb is null then 0.0 else abs(sa - sb) + case when pa is not distinct from pb then 0 else 1 end end as gap, case when pa is not distinct from pb and sa >= 0.7 and sb >= 0.7 then 'agree_high' when pa is not distinct from pb and sa <= 0.3 and sb <= 0.3 then 'agree_low' else 'informative' end as bucket from s)
-select bucket, count(*) as n, round(min(gap), 6) as least, round(max(gap), 6) as most, round(avg(gap), 6) as mean from q group by 1""")
+select b as bucket, count(bucket) as n, round(coalesce(min(gap), 0), 6) as least, round(coalesce(max(gap), 0), 6) as most, round(coalesce(avg(gap), 0), 6) as mean from (values ('agree_high'), ('agree_low'), ('informative')) t(b) left join q on b = bucket group by 1""")
 def disagreement_buckets(spark, d):
     k, n = F.col("doc_id"), F.col("n_chars")
     pa, pb, sa, sb = F.when(k % 11 != 0, k % 3), F.when(k % 11 != 0, k % 2), (n % 100) / F.lit(100.0), (n % 90) / F.lit(90.0)
     rows = table(spark, d, "documents").select(labels.disagreement(pa, sa, pb, sb).alias("gap"), labels.disagreement_bucket(pa, sa, pb, sb).alias("bucket"))
-    return rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), six(F.min("gap")).alias("least"), six(F.max("gap")).alias("most"), six(F.avg("gap")).alias("mean"))
+    return labels.bucket_statistics(rows).select("bucket", "n", *(six(F.col(c)).alias(c) for c in ("least", "most", "mean")))
 
 
 @query("select user_id, event_id, event_type from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1")
@@ -628,11 +602,20 @@ def learned_predict(spark, d):
     return learned.predict(model, rows, ["chars", "words", "marks"]).select("doc_id", "label", six(F.col("raw")).alias("raw"))
 
 
-@query()
+_NEWTON = "list_sum(list_transform(xs, lambda r: r.n * ({}) * (1 / (1 + exp(a * r.x + b))) * (1 - 1 / (1 + exp(a * r.x + b)))))"
+_SLOPE = "list_sum(list_transform(xs, lambda r: r.n * (r.t - 1 / (1 + exp(a * r.x + b))) * ({})))"
+
+
+@query(f"""with recursive {_SCORED}, n as (select sum(label)::double as p, count(*) - sum(label)::double as m from s), g as (select score * 100 as x, label, count(*)::double as n from s group by all),
+ xs as (select list({{'x': x, 'n': g.n, 't': case when label = 1 then (p + 1) / (p + 2) else 1 / (m + 2) end}}) as xs, any_value(ln((m + 1) / (p + 1))) as b0 from g, n),
+ f as (select 0 as step, 0.0::double as a, b0 as b from xs union all
+  select step + 1, a - (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12), b - (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12)
+  from (select f.*, {_SLOPE.format('r.x')} as g1, {_SLOPE.format('1')} as g2, {_NEWTON.format('r.x * r.x')} as h11, {_NEWTON.format('r.x')} as h12, {_NEWTON.format('1')} as h22 from f, xs where step < 30))
+select round(a, 6) as a, round(b, 6) as b from f where step = 30""")
 def platt_fit(spark, d):
     from ..operators import learned
 
-    return learned.platt_fit(_scored(spark, d).select((F.col("score") * 100).alias("raw"), "label"))
+    return learned.platt_fit(_scored(spark, d).select((F.col("score") * 100).alias("raw"), "label")).select(six(F.col("a")).alias("a"), six(F.col("b")).alias("b"))
 
 
 @query("select user_id, event_id, event_type from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1")
@@ -647,3 +630,6 @@ def stream_daily_counts(spark, d):
     from ..streaming import upserts
 
     return upserts.daily_counts(spark, f"{d}/events.parquet").select("day", "event_type", "n", six(F.col("total")).alias("total"))
+
+
+from . import linkage_queries  # noqa: E402, F401  registers its queries with those above
