@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -301,9 +301,10 @@ def hot_repeats(found: DataFrame, length: int) -> DataFrame:
     half = lambda at: F.conv(F.substring(digest, at, 16), 16, -10).cast("bigint")
     members = found.select("*", half(1).alias("c1"), half(17).alias("c2"))
     distinct = stored(members.groupBy("h", "c1", "c2").agg(F.sum(F.size("places").cast("bigint")).alias("n"), F.first("left").alias("left"), F.first("right").alias("right")), "hot-contexts")
-    windows = _windows(distinct, length)
-    again = windows.groupBy("h", "w").agg(F.sum("n").alias("_n")).where("_n > 1").select(F.col("h").alias("_h"), F.col("w").alias("_w"))
-    reach = windows.join(again, (F.col("h") == F.col("_h")) & (F.col("w") == F.col("_w")), "left_semi").groupBy("h", "c1", "c2").agg(F.min("o").alias("low"), F.max("o").alias("high"))
+    # One pass and one exchange: every window sees how many places have its bytes.
+    seen = F.sum("n").over(Window.partitionBy("h", "w"))
+    windows = _windows(distinct, length).withColumn("_n", seen).where("_n > 1")
+    reach = windows.groupBy("h", "c1", "c2").agg(F.min("o").alias("low"), F.max("o").alias("high"))
     reach = stored(reach, "hot-reach").select(F.col("h").alias("_h"), F.col("c1").alias("_c1"), F.col("c2").alias("_c2"), "low", "high")
     discard(distinct)
     placed = members.select("h", "c1", "c2", "key", F.explode("places").alias("at"))
