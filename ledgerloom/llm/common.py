@@ -187,3 +187,16 @@ def labelled_sample(docs: DataFrame, target: Column, folds: int, held: int, most
     n = rows.count()
     share = min(1.0, most / max(n, 1))
     return rows.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)) + (share >= 1.0))
+
+
+#: Bytes of text that a fitted sample may have.
+SAMPLE_BYTES = 96_000_000
+
+
+def bounded_texts(docs: DataFrame, chosen: DataFrame, most: int = SAMPLE_BYTES) -> DataFrame:
+    """docs' rows of chosen (doc_id, ...), whole texts; where these have more than `most` bytes together, a share of them by a hash of doc_id that has about that many."""
+    rows = docs.join(F.broadcast(chosen), "doc_id")  # chosen is a bounded sample
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if total <= most:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("bytes")), F.lit(1 << 20)) < int(most / total * (1 << 20)))

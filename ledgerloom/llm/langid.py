@@ -41,12 +41,21 @@ def training_rows(docs: DataFrame, folds: int = 4, held: int = 2) -> Column:
     return F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", folds) != held)
 
 
-def dictionaries(rows: DataFrame, sample_rows: int = 150, dictionary_bytes: int = 128_000, most_languages: int = 500) -> dict[str, bytes]:
-    """A dictionary per language from rows (doc_id, lang, text), made of sampled whole texts, in the order of their hashes, up to its size."""
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages)
-    shares = {r["lang"]: min(1.0, sample_rows / r["count"]) for r in counts.collect()}
-    if not shares:
+def dictionaries(rows: DataFrame, sample_rows: int = 150, dictionary_bytes: int = 128_000, all_bytes: int = 64_000_000, most_languages: int = 10_000) -> dict[str, bytes]:
+    """A dictionary per language from rows (doc_id, lang, text), made of sampled whole texts, in the order of their hashes, up to its size.
+
+    All dictionaries together have `all_bytes` at most, so that many languages have smaller ones; every language is in. More than
+    `most_languages` different values are an error: then the column holds no languages.
+    """
+    counts = rows.groupBy("lang").count().limit(most_languages + 1).collect()
+    if len(counts) > most_languages:
+        raise ValueError(f"more than {most_languages} languages")
+    if not counts:
         return {}
+    dictionary_bytes = min(dictionary_bytes, all_bytes // len(counts))
+    # A text has some hundred bytes at least, so a small dictionary needs few.
+    sample_rows = max(1, min(sample_rows, dictionary_bytes // 100))
+    shares = {r["lang"]: min(1.0, sample_rows / r["count"]) for r in counts}
     grid = 1 << 24
     share = F.element_at(F.create_map(*(F.lit(x) for k, v in shares.items() for x in (k, int(v * grid)))), F.col("lang"))
     place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language")), F.lit(grid))
@@ -87,7 +96,7 @@ class Classifier:
 def identify(docs: DataFrame, data: dict[str, bytes], keep: tuple[str, ...] = ("doc_id",), least: float = 0.15) -> DataFrame:
     """docs' `keep` columns with lang_pred, score and rejected."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(data)  # bounded by dictionary_bytes times most_languages
+    shared = spark.sparkContext.broadcast(data)  # bounded by all_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = None

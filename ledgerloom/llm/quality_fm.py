@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample, schema_with, split_rows
+from .common import bounded_texts, labelled_sample, schema_with, split_rows
 from .hashed_text import SLOT_BITS, Vocabulary, platt, sigmoid, statistics, words
 
 
@@ -134,9 +134,9 @@ def score(docs: DataFrame, model: FactorisationMachine, metadata: str = "n_chars
 
 
 def predict(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, sample_rows: int = 6000, metadata: str = "n_chars", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """A score for every document by a machine fitted to the labelled ones outside the held-out fold."""
+    """A score for every document by a machine fitted to the labelled ones outside the held-out fold: about `sample_rows` of them, and SAMPLE_BYTES of text at most."""
     chosen = labelled_sample(labels.select("doc_id", F.col("quality").alias("y")), F.col("y"), folds, held, sample_rows)
-    sample = docs.select("doc_id", "text", F.col(metadata).cast("double").alias("m")).join(F.broadcast(chosen), "doc_id").collect()
+    sample = bounded_texts(docs.select("doc_id", "text", F.col(metadata).cast("double").alias("m")), chosen).collect()
     rows = sorted(((r["doc_id"], r["text"] or "", np.nan if r["m"] is None else r["m"], int(r["y"])) for r in sample), key=lambda r: r[:2])
     model = train(pa.array([r[1] for r in rows], pa.large_string()), np.array([r[2] for r in rows], float), np.array([r[3] for r in rows], float))
     return score(docs, model, metadata, keep)

@@ -389,3 +389,65 @@ def test_estimate_equals_numpy(spark):
     d2 = {r["salt"]: r for r in quality_rules._distance(rows.limit(16), quality_rules.covariances(rows).drop("start", "logdet")).collect()}
     z = np.linalg.solve(low, (x[:16] - np.array([fit[f"m{i}"] for i in range(5)])).T)
     assert np.allclose([d2[i]["d2"] for i in range(16)], (z * z).sum(0))
+
+
+def test_convolution_equals_a_direct_one():
+    """The tabulated forward pass against windows of summed word vectors, one filter and place at a time."""
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    words = "stone river cloud ember frost maple thorn vile rotten cursed".split()
+    texts = [" ".join(rng.choice(words[:7] if i % 3 else words) for _ in range(rng.randint(1, 40))) for i in range(60)] + ["", "one"]
+    label = np.array([float(any(w in t for w in words[7:])) for t in texts])
+    column = pa.array(texts, pa.large_string())
+    model = toxicity.Convolution(toxicity.Vocabulary.of(column, forms=True))
+    model.fit(column, label)
+    rows, starts, ends = model.rows(column)
+    want = []
+    for s, e in zip(starts, ends, strict=True):
+        x = [sum(model.emb[k] for k in rows[i]) for i in range(s, e + toxicity.PAD)]
+        total, at = model.base, 0
+        for w in toxicity.WIDTHS:
+            for f in range(model.filters):
+                best = max(sum(float(x[i + j] @ model.kernels[w][j][:, f]) for j in range(w)) + float(model.bias[w][f]) for i in range(e - s))
+                total += max(best, 0.0) * float(model.out[at])
+                at += 1
+        want.append(total)
+    assert np.allclose(model.raw(column), want, atol=1e-3)
+    assert np.allclose(model.raw(column), np.concatenate([model.raw(column[i : i + 1]) for i in range(len(texts))]), atol=1e-3)
+
+
+def test_languages_equal_plain_compression(spark):
+    """Predictions against zstandard called for one text and one dictionary at a time."""
+    import math
+
+    import zstandard
+
+    rows = [(i, prose(("en", "de")[i % 2], i, 20 + i), ("en", "de")[i % 2]) for i in range(60)] + [(100, "12 34", "en"), (101, None, None), (102, prose("de", 7, 3000), None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    data = langid.dictionaries(df.where(langid.training_rows(df)))
+    for r in langid.predict(df).collect():
+        text = dict((x[0], x[1]) for x in rows)[r["doc_id"]]
+        bare = re.sub(r"[\W\d_]+", " ", text.lower()) if text else ""
+        if not re.search(r"[^\W\d_]", text or ""):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        sizes = {}
+        for lang, d in data.items():
+            known = zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            one = lambda part: len(zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False).compress(part.encode()))  # noqa: B023, E731
+            sizes[lang] = sum(one(bare[i : i + langid.PIECE]) for i in range(0, len(bare), langid.PIECE))
+        best, second = sorted(sizes, key=lambda k: (sizes[k], k))
+        assert abs(sizes[r["lang_pred"]] - sizes[best]) <= 2  # a prepared dictionary may find a match or two more
+        assert abs(r["score"] - (1 - math.exp(-(sizes[second] - sizes[best]) / langid.SCALE))) < 0.2
+    assert set(langid.dictionaries(df.where("lang is not null"), all_bytes=2_000)) == {"de", "en"}
+    with pytest.raises(ValueError):
+        langid.dictionaries(df.where("lang is not null"), most_languages=1)
+
+
+def test_samples_are_bounded_in_bytes(spark):
+    from ledgerloom.llm.common import bounded_texts
+
+    df = spark.createDataFrame([(i, "x" * 1000) for i in range(400)], "doc_id bigint, text string")
+    chosen = df.select("doc_id")
+    assert bounded_texts(df, chosen).count() == 400 and 60 <= bounded_texts(df, chosen, 100_000).count() <= 140
