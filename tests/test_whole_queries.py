@@ -32,3 +32,20 @@ def test_fuzzy_title_score_reads_words_after_the_twelfth(spark, tmp_path, monkey
     spark.createDataFrame([(5, f"{filler} {passage}")], "doc_id bigint, text string").withColumns({"lang": queries.F.lit("en")}).write.parquet(f"{tmp_path}/documents.parquet")
     monkeypatch.setattr(queries, "_top", lambda spark, d: spark.createDataFrame([(1, 5)], "item_id bigint, doc_id bigint"))
     assert queries.fuzzy_title_score(spark, str(tmp_path)).first()["score"] > 40  # whole lists: 14 shared of 34 words
+
+
+def test_entry_without_the_corpus_part(tmp_path):
+    """With both corpus folders gone the entry points still offer all other queries; a missing library is not passed over."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    shutil.copytree(root / "ledgerloom", tmp_path / "ledgerloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    run = lambda code: subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    out = run("import __spark_entry__ as e; q = e.queries(); print(len(q), any(n.startswith('op1_') for n in q), set(e.oracle_sql()) <= set(q))")
+    assert out.stdout.split() == [str(len(queries.QUERIES)), "False", "True"], out.stderr
+    (tmp_path / "corpus_pipeline.py").write_text("import no_such_library\n")
+    assert "no_such_library" in run("import __spark_entry__").stderr
