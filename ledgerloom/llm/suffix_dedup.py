@@ -13,7 +13,7 @@ of the anchor are its contexts, at most `length` bytes each. Only anchors whose
    stack scan, the tree of common-prefix intervals. The members of an interval, sorted by their left contexts, are scanned again: an
    interval of that scan shares both sides. It is maximal if its members are diverse on the left and on the right; `maximal_repeats`
    gives every such group with all its members, and `repeat_groups` all groups of a corpus with all their occurrences.
-4. `hot_repeats`: a hash that more than `HOT` texts have is not brought into one task. Equal contexts are combined before the shuffle,
+4. `hot_repeats`: a hash that more than `HOT` texts have is not brought into one task; HOT bounds a task's memory and changes no result. Equal contexts are combined before the shuffle,
    and what is left is dealt by hash and window, so that its rows spread over as many keys as an anchor has windows.
 5. `apply`: the places of each text are merged and cut out.
 
@@ -41,8 +41,8 @@ LENGTH = 400
 GRAM = 64
 #: Bytes of text that are hashed in one go; the hashes and their minima take some hundred times that.
 SLICE = 1 << 19
-#: Texts with one hash above which the hash is dealt out by its windows.
-HOT = 1024
+#: Texts with one hash above which the hash is dealt out by its windows: below, its contexts take some 25 MB of a task.
+HOT = 1 << 15
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
