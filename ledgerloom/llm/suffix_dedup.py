@@ -323,8 +323,8 @@ def repeated_contexts(docs: DataFrame, length: int = LENGTH, hot: int = HOT) ->
     sought = hashes.join(again, F.col("h") == F.col("_h")).groupBy("k1", "k2").agg(F.collect_set(F.struct("h", "hot")).alias("hs")).select(key.alias("_k"), "hs")
     sought = stored(sought, "sought-hashes")
     discard(hashes)
-    sought = sought.join(rows.select(F.col("key").alias("_key"), "rep"), F.col("_k") == F.col("_key")).select("_k", "rep", "hs")
-    wanted = texts.join(sought, (F.col("key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("key", "text", "hs")
+    of_rep = sought.join(rows.select(F.col("key").alias("_key"), "rep"), F.col("_k") == F.col("_key")).select("_k", "rep", "hs")
+    wanted = texts.join(of_rep, (F.col("key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("key", "text", "hs")
     found = stored(contexts(wanted, length), "repeat-contexts")
     discard(sought)
     return found, rows
