@@ -194,6 +194,11 @@ def build_queue(matched: DataFrame, labelled: DataFrame, budget: DataFrame, seed
     return stratified(banded, budget, "pair", [F.col("seq"), F.col("pair")], seed).drop("pair")
 
 
+def stratum_counts(pairs: DataFrame) -> DataFrame:
+    """(language, band, n)."""
+    return pairs.groupBy("language", "band").agg(F.count(F.lit(1)).alias("n"))
+
+
 def progress(pairs: DataFrame, labels_: DataFrame) -> DataFrame:
     """(language, total, labelled, match, no_match, unsure): one row per language, by the last label of each pair."""
     last = latest(labels_.select("pair_id", "id", "verdict"), ["pair_id"], ["id"])

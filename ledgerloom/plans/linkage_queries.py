@@ -9,7 +9,7 @@ from ..functions import signals as S  # noqa: N812
 from ..functions import text as T  # noqa: N812
 from ..operators import labels, matching, metrics, renewal, retrieval, similarity
 from . import queries as base
-from .queries import _BT, _DT, _IDF, _PAIRS, CUT, STOP_SQL, documents, norm_sql, query, six, table, tok_sql
+from .queries import _BT, _DT, _IDF, CUT, STOP_SQL, documents, norm_sql, query, six, table, tok_sql
 
 # Candidates -----------------------------------------------------------------------------------------------------------------------
 
@@ -67,6 +67,15 @@ def title_extends(spark, d):
     return documents(spark, d).select("doc_id", S.extends(T.tokenize(F.col("text")), T.tokenize(F.col("source"))).alias("extends"))
 
 
+@query(f"""with t as (select doc_id, {tok_sql('text')} as w, {tok_sql("coalesce(lang, '') || ' the of and ' || coalesce(source, '')")} as e from documents), k as (select doc_id, w, list_filter(w, lambda x: not list_contains(e, x) or x = 'and') as kept from t)
+select doc_id, len(case when len(kept) > 0 then kept else w end)::bigint as n, array_to_string(list_sort(list_distinct(case when len(kept) > 0 then kept else w end)), ' ') as words from k""")
+def cross_field_strip(spark, d):
+    explained = T.tokenize(F.concat_ws("", F.coalesce("lang", F.lit("")), F.lit(" the of and "), F.coalesce("source", F.lit(""))))
+    entries = F.transform(T.tokenize(F.col("text")), lambda w: F.struct(w.alias("word"), F.lit(1.0).alias("weight")))
+    rows = documents(spark, d).select("doc_id", matching.unexplained(entries, F.array(F.lit("and")), explained).alias("p")).select("doc_id", F.transform("p", lambda p: p["word"]).alias("w"))
+    return rows.select("doc_id", F.size("w").cast("long").alias("n"), F.array_join(F.sort_array(F.array_distinct("w")), " ").alias("words"))
+
+
 _ROUTE = """scored as (select o_custkey as control_id, o_orderkey as uuid, (o_orderkey % 101)::double as author, (o_orderkey * 7 % 101)::double as publisher, o_orderkey % 3 <> 0 as claimed from orders)"""
 
 
@@ -251,6 +260,11 @@ def label_queue(spark, d):
     return queue.groupBy("language", "band").agg(F.count(F.lit(1)).cast("int").alias("n"), F.min("control_id").alias("_f")).select("language", "band", "n", F.when(F.col("band") != "below", F.col("_f")).alias("first_id"))
 
 
+@query("select lang as language, case when n_chars % 1000 >= 900 then 'ge90' when n_chars % 1000 >= 800 then 'b80_90' when n_chars % 1000 >= 700 then 'b70_80' when n_chars % 1000 >= 600 then 'b60_70' else 'below' end as band, count(*) as n from documents group by all")
+def stratum_counts(spark, d):
+    return labels.stratum_counts(table(spark, d, "documents").select(F.col("lang").alias("language"), S.score_band((F.col("n_chars") % 1000) / F.lit(1000.0)).alias("band")))
+
+
 @query("""with v as (select o_orderkey, 1 + o_orderkey % 9 as schema, case when o_orderkey % 4 > 0 then o_orderpriority else '' end as category, case when o_orderkey % 3 = 0 then 1970 end as renewal_year from orders)
 select o_orderkey, greatest(schema, 8)::int as schema, case when schema < 3 then case when category = '' then '' else category end else '' end as categories, case when schema < 5 then renewal_year is not null end as was_renewed, case when schema < 8 then 'registration' end as match_source from v""")
 def vault_migrate(spark, d):

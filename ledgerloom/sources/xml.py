@@ -195,6 +195,15 @@ def read_registrations(spark: SparkSession, path: str) -> DataFrame:
     return out.where("uuid is not null and title is not null")
 
 
+def registration_counts(spark: SparkSession, path: str) -> DataFrame:
+    """One row on the registrations below path: emitted, skipped for want of an id or a title, titles repaired, registration years out of range."""
+    rows = _read(spark, path, "copyrightEntry", REGISTRATION_SCHEMA, True)
+    named, raw = F.trim(F.coalesce("_id", F.lit(""))) != "", F.trim(F.coalesce("title", F.lit("")))
+    year = F.regexp_extract(F.coalesce("regDate._date", "regDate._VALUE", F.lit("")), r"(\d{4})", 1).try_cast("int")
+    n = lambda c: F.count(F.when(c, 1))
+    return rows.agg(n(named & (raw != "")).alias("emitted"), n(~named).alias("no_id"), n(named & (raw == "")).alias("no_title"), n(raw != clean_text(raw)).alias("repaired"), n(~year.between(*REGISTRATION_YEARS)).alias("year_out_of_range"))
+
+
 def registration_keys(registrations: DataFrame) -> DataFrame:
     """(uuid, keys): the join keys of a registration in order of priority, its own first."""
     own = F.coalesce(identifiers.renewal_keys(F.col("regnum"), F.col("reg_year")), F.array().cast("array<struct<regnum:string,year:int>>"))

@@ -131,6 +131,7 @@ def test_pools_and_wanted_records(spark, files):
     assert [r["control_id"] for r in xml.read_marc(spark, f"{files}/dump/*")[0].collect()] == ["m3"]
     counts = xml.parse_counts(spark, str(files / "marc.xml")).first()
     assert (counts["emitted"], counts["no_control_id"], counts["no_title"]) == (2, 1, 1)
+    assert tuple(xml.registration_counts(spark, str(files / "reg")).first()) == (5, 1, 0, 0, 0)
 
 
 def test_filter_with_reasons(spark):
