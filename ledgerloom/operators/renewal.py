@@ -41,14 +41,14 @@ def fanout(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def joined_by_scheme(registrations: DataFrame, renewals: DataFrame) -> DataFrame:
-    """(scheme, joined, unique): renewals that find a registration by raw or normalised number, with day, year or neither, and how many find just one.
+    """(scheme, joined, single): renewals that find a registration by raw or normalised number, with day, year or neither, and how many find just one.
 
     Both sides have id, raw, norm, day and year.
     """
     schemes = {"raw_day": ("raw", "day"), "norm_day": ("norm", "day"), "norm_year": ("norm", "year"), "norm": ("norm",)}
     keyed = lambda df: df.select("id", F.explode(F.array(*(F.struct(F.lit(s).alias("scheme"), F.when(F.greatest(*(F.col(c).isNull() for c in cols)) if len(cols) > 1 else F.col(cols[0]).isNull(), None).otherwise(F.concat_ws("|", *(F.col(c).cast("string") for c in cols))).alias("k")) for s, cols in schemes.items()))).alias("e")).select("id", "e.scheme", "e.k").where("k is not null and k <> ''")
     counts = keyed(registrations).groupBy("scheme", "k").agg(F.countDistinct("id").alias("m"))
-    hits = keyed(renewals).join(counts, ["scheme", "k"]).groupBy("scheme").agg(F.countDistinct("id").alias("joined"), F.count(F.when(F.col("m") == 1, 1)).alias("unique"))
+    hits = keyed(renewals).join(counts, ["scheme", "k"]).groupBy("scheme").agg(F.countDistinct("id").alias("joined"), F.count(F.when(F.col("m") == 1, 1)).alias("single"))
     return hits
 
 

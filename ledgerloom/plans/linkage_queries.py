@@ -291,7 +291,7 @@ _RENS = "rens as (select l_orderkey * 10 + l_linenumber as id, case when l_linen
 
 @query(f"""with {_REGS}, {_RENS}, a as (select id, unnest(['raw_day', 'norm_day', 'norm_year', 'norm']) as scheme, unnest([raw || '|' || day, norm || '|' || day, norm || '|' || y, norm]) as k from regs),
  b as (select id, unnest(['raw_day', 'norm_day', 'norm_year', 'norm']) as scheme, unnest([raw || '|' || day, norm || '|' || day, norm || '|' || year(day), norm]) as k from rens), m as (select scheme, k, count(distinct id) as m from a group by all)
-select scheme, count(distinct id) as joined, count(*) filter (where m = 1) as "unique" from b join m using (scheme, k) group by 1""")
+select scheme, count(distinct id) as joined, count(*) filter (where m = 1) as single from b join m using (scheme, k) group by 1""")
 def join_schemes(spark, d):
     k = lambda c: F.col(c).cast("string")
     orders = table(spark, d, "orders")

@@ -189,7 +189,7 @@ def test_join_measurements(spark):
     schema = "id string, raw string, norm string, day string, year int"
     regs = spark.createDataFrame([("a", "A-1", "A1", "1950-01-01", 1950), ("b", "A 1", "A1", None, 1951)], schema)
     rens = spark.createDataFrame([("r", "A1", "A1", "1950-02-01", 1950), ("s", "A-1", "A1", "1950-01-01", 1950)], schema)
-    got = {r["scheme"]: (r["joined"], r["unique"]) for r in renewal.joined_by_scheme(regs, rens).collect()}
+    got = {r["scheme"]: (r["joined"], r["single"]) for r in renewal.joined_by_scheme(regs, rens).collect()}
     assert got == {"raw_day": (1, 1), "norm_day": (1, 1), "norm_year": (2, 2), "norm": (2, 0)}
     numbers = spark.createDataFrame([("A foreign 12",), ("AF12",), ("A1 A2",)], "n string")
     assert {(r["class"], r["folded"]) for r in renewal.class_folds(numbers, "n").collect()} == {("AFOREIGN", "AF"), ("AF", "AF"), ("A", "A")}
