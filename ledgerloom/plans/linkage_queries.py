@@ -124,7 +124,7 @@ select item_id::varchar as marc_id, title as marc_title_original, {norm_sql('tit
  coalesce(doc_id::varchar, '') as match_source_id, coalesce(cy::varchar, '') as match_date, coalesce('A' || doc_id, '') as match_regnum, case when doc_id is null then '' else 'A1; A2' end as match_prev_regnums,
  case when doc_id is null then '' when doc_id % 2 = 0 then 'true' else 'false' end as match_was_renewed, coalesce(case when doc_id % 2 = 0 then 'R' || doc_id when doc_id % 3 = 0 then 'S' || doc_id end, '') as match_renewal_id,
  case when doc_id % 2 = 0 then '1978-01-02' else '' end as match_renewal_date, case when doc_id % 2 = 0 then 'direct' when doc_id % 3 = 0 then 'sibling' else '' end as match_renewal_via,
- case when doc_id is null then '' else '88' end as title_score, case when doc_id is null then '' else '4' end as author_score, '' as publisher_score, coalesce(printf('%.2f', calibrated * 100), '') as combined_score, coalesce((year - cy)::varchar, '') as year_difference from j"""
+ case when doc_id is null then '' else '88' end as title_score, case when doc_id is null then '' else '4' end as author_score, '' as publisher_score, coalesce(printf('%.2f', calibrated * 100 + 1e-9), '') as combined_score, coalesce((year - cy)::varchar, '') as year_difference from j"""
 
 
 @query(_LINK_SQL.replace(" coalesce('50' || lpad(item_id::varchar, greatest(6, length(item_id::varchar)), '0'), '') as lccn_full,", ""))
