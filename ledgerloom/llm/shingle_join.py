@@ -3,13 +3,15 @@
 A set of n shingles that reaches similarity 4/5 with another shares at least t = ceil(4n / 5) of its shingles. So if all shingles are
 put in one order, whichever it is, the first n - t + K of both sets have at least K in common (all of t, if that is less). Sets are listed
 under these, shared entries are tallied for the pairs of each list, pairs below the guaranteed tally are dropped, and the others are verified by
-their whole sets. The order puts shingles last that a sample of the texts has often; that only shortens the lists and decides nothing.
+their whole sets. The order puts shingles last that a sample of the texts has often; that only shortens the lists and decides nothing. The sample grows
+with the texts, so that a shingle of long lists is known as frequent whatever their number.
 
 Pairs whose shingles per bucket of the hash space leave too small an overlap are dropped before whole sets are brought together; that bound is
 never below the true overlap. Pairs within a component cannot change it, so one pair per set is verified first and then only pairs across
 the components found. Lists above `LIST_MOST` sets are first paired with their `PIVOTS` least sets only, each such pair with a full tally. Where
 the sets of such a list are then not all in one component, the pairs across components are compared within the list, by the bound and then by whole
-sets, until they are one or no pair is left. So the components are those of all similar pairs.
+sets, until they are one or no pair is left. So the components are those of all similar pairs. Whole sets stand in such lists once for every list, so
+the lists are taken in portions of a bounded share of all sets, one after another; all of them are taken.
 
 Texts are shingled again for the few sets that are verified, rather than all sets stored: they are larger than the texts.
 
@@ -37,7 +39,10 @@ LIST_MOST, PIVOTS = 64, 4
 #: Shared entries of the index that a pair needs.
 K = 4
 BUCKETS, BUCKET_MOST = 512, 255
-SAMPLE, ORDERED = 5_000, 300_000
+#: Texts sampled for the order: one of so many, but this many at least. Shingles that the order has at most.
+SHARE, SAMPLE, ORDERED = 8, 5_000, 300_000
+#: Whole sets are brought together in long lists up to this share of the bytes of all sets at a time, but up to so many bytes in any case.
+PORTION_SHARE, PORTION_LEAST = 0.25, 32 << 20
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -72,8 +77,8 @@ def _sets(docs: DataFrame, width: int, keep: str) -> DataFrame:
 
 
 def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several of about SAMPLE sampled texts have, in order, with their counts."""
-    share = min(1.0, SAMPLE / max(1, docs.count()))
+    """The ORDERED shingles at most that the sampled texts have most often, several times at least, in order, with their counts."""
+    share = min(1.0, max(1 / SHARE, SAMPLE / max(1, docs.count())))
     chosen = docs.where(F.pmod(F.xxhash64("k", F.lit("order")), F.lit(1 << 20)) <= int(share * (1 << 20))).dropDuplicates(["text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,8 +86,15 @@ def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
             for t in pc.fill_null(batch.column("text").cast(pa.binary()), b"").to_pylist():
                 yield pa.RecordBatch.from_pydict({"h": pa.array(shingles(t, width).view(np.int64))})
 
-    counts = chosen.select("text").mapInArrow(run, "h bigint").groupBy("h").count().where("count > 1")
-    rows = counts.orderBy(F.desc("count"), "h").limit(ORDERED).toPandas()
+    counts = stored(chosen.select("text").mapInArrow(run, "h bigint").groupBy("h").agg(F.count(F.lit(1)).alias("count")).where("count > 1"), "shingle-counts")
+    least, known = 0, 0
+    for c, shingles_ in sorted(counts.groupBy("count").agg(F.count(F.lit(1))).collect(), reverse=True):  # a row for each count that occurs
+        known += shingles_
+        if known > ORDERED:
+            least = c + 1
+            break
+    rows = counts.where(F.col("count") >= least).toPandas()
+    discard(counts)
     h, n = rows["h"].to_numpy(np.int64).view(np.uint64), rows["count"].to_numpy(np.int64)
     order = np.argsort(h)
     return h[order], n[order]
@@ -237,15 +249,15 @@ def _across_components(pairs: DataFrame, near: DataFrame) -> DataFrame:
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Similar pairs of each list, sorted by size, that join components: at most one for each component but the first.
+    """Similar pairs of each list (h, node, component, n, hashes), sorted by size, that join components: at most one for each component but the first.
 
     Pairs within a component are passed over, also those that a link found before has joined; the others are compared by the bound, then by their whole sets.
     """
-    for (_, node, n, sizes, component, hashes), first, end in _lists(batches, 6):
+    for (_, node, component, n, hashes), first, end in _lists(batches, 5):
         a, b = [], []
         for i, e in zip(first.tolist(), end.tolist(), strict=True):
-            x = np.frombuffer(b"".join(sizes[i:e]), np.uint8).reshape(-1, BUCKETS)
             sets = [np.frombuffer(h, np.uint64) for h in hashes[i:e]]
+            x = np.frombuffer(b"".join(map(_bucket_sizes, sets)), np.uint8).reshape(-1, BUCKETS)
             own, size = np.unique(component[i:e], return_inverse=True)[1], n[i:e]
             last = np.searchsorted(4 * size, 5 * size, side="right")
             for r in range(e - i):
@@ -259,6 +271,23 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
 
+def _compared(open_: DataFrame, docs: DataFrame, rows: DataFrame, sets: DataFrame, width: int) -> list[DataFrame]:
+    """Tables of similar pairs (a, b) that join components within the lists of open_ (h, node, component), a table for each portion of the lists."""
+    size = sets.select(F.col("node").alias("_n"), "n")
+    weight = 8 * (open_.join(size, F.col("node") == F.col("_n")).agg(F.sum("n")).first()[0] or 0)
+    most = max(PORTION_LEAST, int(PORTION_SHARE * 8 * (sets.agg(F.sum("n")).first()[0] or 0)))
+    portions, found = max(1, -(-weight // most)), []
+    for portion in range(portions):
+        own = open_.where(F.pmod(F.xxhash64("h"), F.lit(portions)) == portion)
+        whole = _whole(own.select(F.col("node").alias("_n")), docs, rows, width)
+        discard(docs)
+        known = whole.select(F.col("node").alias("_n"), (F.octet_length("hashes") / 8).cast("bigint").alias("n"), "hashes")
+        rest = own.join(known, F.col("node") == F.col("_n")).select("h", "node", "component", "n", "hashes")
+        found.append(stored(rest.repartition("h").sortWithinPartitions("h", "n").mapInArrow(_across, "a bigint, b bigint").distinct(), "shingle-across"))
+        discard(whole)
+    return found
+
+
 def groups(docs: DataFrame, rows: DataFrame, sets: DataFrame, width: int) -> DataFrame:
     """(node, component) of the sets that are similar to another one; docs has (k, text), rows (k, node), sets (node, n, sizes, prefix)."""
     listed = sets.select(F.explode("prefix").alias("h"), "node", "n")
@@ -280,15 +309,14 @@ def groups(docs: DataFrame, rows: DataFrame, sets: DataFrame, width: int) -> Dat
     discard(found)
     lists = members.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.bit_xor(F.xxhash64("node")).alias("mark"), F.count(F.lit(1)).alias("m"))
     lists = lists.where("low <> high").groupBy("mark", "m").agg(F.min("h").alias("_h"))  # lists of the same sets once
-    open_ = members.join(lists, F.col("h") == F.col("_h"), "left_semi")
+    open_ = stored(members.join(lists, F.col("h") == F.col("_h"), "left_semi"), "shingle-open")
+    discard(members)
     if open_.isEmpty():
         return near
-    whole = _whole(open_.select(F.col("node").alias("_n")), docs, rows, width)
-    known = sizes.join(whole.withColumnRenamed("node", "_w"), F.col("node") == F.col("_w")).select(F.col("node").alias("_n"), "n", "sizes", "hashes")
-    rest = open_.join(known, F.col("node") == F.col("_n")).select("h", "node", "n", "sizes", "component", "hashes")
-    more = stored(rest.repartition("h").sortWithinPartitions("h", "n").mapInArrow(_across, "a bigint, b bigint").distinct(), "shingle-across")
-    discard(whole)
-    return components(links.union(more))
+    for more in _compared(open_, docs, rows, sets, width):
+        links = links.union(more)
+    discard(open_)
+    return components(links)
 
 
 def one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:

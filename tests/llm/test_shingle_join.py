@@ -63,3 +63,24 @@ def test_rows_that_share_an_id_or_have_none(spark):
     assert sorted(r["text"] for r in corpus_pipeline.simhash_near_dedup(spark, docs, "").collect()) == sorted(texts[:5])
     got = corpus_pipeline.mix_to_weights(spark, docs, "").groupBy("text").count().collect()
     assert {r["text"]: r["count"] for r in got} == dict.fromkeys(texts[:4], 1) | {texts[4]: 2}
+
+
+def test_phrases_of_few_texts_bring_no_whole_sets_together(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "LIST_MOST", 4)
+    monkeypatch.setattr(shingle_join, "SAMPLE", 20)
+    sets = []
+    monkeypatch.setattr(shingle_join, "_whole", lambda nodes, *a, f=shingle_join._whole: sets.append(nodes.distinct().count()) or f(nodes, *a))
+    rows = [(i, f"{invented(3000 + i, 30)} {invented(60 + i % 37, 8)} {invented(9000 + i, 30)}", "en", "a", 1) for i in range(1500)]
+    assert shingle_join.one_of_each(spark.createDataFrame(rows, DOC)).count() == 1500
+    assert sum(sets) < 400  # some 40 texts have each phrase
+
+
+def test_long_lists_in_portions(spark, monkeypatch):
+    for name, value in (("LIST_MOST", 3), ("PIVOTS", 1), ("PORTION_SHARE", 0), ("PORTION_LEAST", 20_000)):
+        monkeypatch.setattr(shingle_join, name, value)
+    tables = []
+    monkeypatch.setattr(shingle_join, "_compared", lambda *a, f=shingle_join._compared: tables.append(f(*a)) or tables[-1])
+    rows = [(10 * i + j, changed(invented(700 + i % 3, 200), 5 * j, 50 * i + j), "en", "a", 1) for i in range(9) for j in range(6)]
+    got = shingle_join.one_of_each(spark.createDataFrame(rows, DOC)).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in got) == kept_by_brute_force(rows)
+    assert len(tables[0]) > 1
