@@ -451,3 +451,24 @@ def test_samples_are_bounded_in_bytes(spark):
     df = spark.createDataFrame([(i, "x" * 1000) for i in range(400)], "doc_id bigint, text string")
     chosen = df.select("doc_id")
     assert bounded_texts(df, chosen).count() == 400 and 60 <= bounded_texts(df, chosen, 100_000).count() <= 140
+
+
+def test_toxicity_learns_from_every_label(labelled, monkeypatch):
+    docs, marks = labelled
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda rows, *a, f=toxicity.train: seen.append(rows.count()) or f(rows, *a))
+    times = docs.sparkSession.range(10).select((F.col("id") * 1000).alias("more"))
+    many, marked = (x.crossJoin(times).withColumn("doc_id", F.col("doc_id") + F.col("more")).drop("more") for x in (docs, marks))
+    got = toxicity.predict(many, marked, shard=1500)
+    assert seen == [marked.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0).count()] and seen[0] > 6500
+    assert accuracy(got, marked, "toxic") > 0.97
+
+
+def test_calibration_equals_numpy(spark):
+    from ledgerloom.llm.hashed_text import platt
+
+    rng = np.random.default_rng(3)
+    raw = rng.normal(0, 2, 500)
+    y = (rng.random(500) < 1 / (1 + np.exp(1 - 1.7 * raw))).astype(int)
+    df = spark.createDataFrame([(float(r), int(v), "en") for r, v in zip(raw, y, strict=True)], "raw double, y bigint, lang string")
+    assert np.allclose(toxicity._calibrated(df), platt(raw, y.astype(float)), atol=1e-6)
