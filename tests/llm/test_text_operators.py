@@ -472,3 +472,24 @@ def test_calibration_equals_numpy(spark):
     y = (rng.random(500) < 1 / (1 + np.exp(1 - 1.7 * raw))).astype(int)
     df = spark.createDataFrame([(float(r), int(v), "en") for r, v in zip(raw, y, strict=True)], "raw double, y bigint, lang string")
     assert np.allclose(toxicity._calibrated(df), platt(raw, y.astype(float)), atol=1e-6)
+
+
+def test_toxicity_shards_are_whole_and_smaller_than_their_texts(labelled, monkeypatch):
+    import pyarrow as pa
+
+    docs, marks = labelled
+    shards, chosen = [], F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0
+    monkeypatch.setattr(toxicity, "LABELS_MOST", 200, raising=False)
+    monkeypatch.setattr(toxicity, "stored", lambda df, label, f=toxicity.stored: shards.append((label, out := f(df, label))) or out)
+    monkeypatch.setattr(toxicity, "discard", lambda *a: None)
+    assert accuracy(toxicity.predict(docs, marks), marks, "toxic") > 0.95
+    joined = [t for label, t in shards if label == "toxicity-labelled"]
+    assert len(joined) > 1 and sum(t.count() for t in joined) == marks.where(chosen).count()
+    (texts,) = [t for label, t in shards if label == "toxicity-texts"]
+    fitted = docs.join(marks.where(chosen & (F.pmod(F.xxhash64("doc_id", F.lit("check")), F.lit(5)) != 4)), "doc_id").orderBy("doc_id").collect()
+    (row,) = texts.collect()
+    assert sum(len(x) if isinstance(x, (bytes, bytearray)) else sum(map(len, map(str, x))) for x in row[1:]) < sum(len(r["text"]) for r in fitted) / 2
+    slots, words, counts, y = (toxicity._unpacked(x, t) for x, t in zip(row[1:], (np.int32, np.int32, np.int32, np.int8), strict=True))
+    want, of = toxicity.word_forms(pa.array([r["text"] for r in fitted]))
+    assert (slots.reshape(-1, 3)[words] == want).all() and (counts == np.bincount(of, minlength=len(fitted))).all()
+    assert y.tolist() == [r["toxic"] for r in fitted]
