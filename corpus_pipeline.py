@@ -33,7 +33,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest doc_id: texts whose five-word shingles have Jaccard similarity 0.8 or more."""
+    """One document of each group of near-duplicates, that of the smallest doc_id: texts whose five-word shingles have Jaccard similarity 0.8 or more.
+
+    SimHash fingerprints and their byte-position index find candidates first; an exact index of shingles finds the pairs that differ in more bits.
+    """
     return shingle_join.one_of_each(docs, width=5)
 
 

@@ -1,4 +1,8 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: an exact set-similarity join by an inverted index with count filtering.
+"""Near-duplicates by the Jaccard similarity of word shingles: SimHash, then an exact set-similarity join by an inverted index with count filtering.
+
+Every set has a SimHash fingerprint; sets whose fingerprints are equal or linked by the byte-position index of `simhash` are candidates
+before all others, and become links if their whole sets are similar. Sets of similarity 4/5 may differ in more bits than positions can
+guarantee. All pairs that are not in one component by then are left to the index of shingles, which loses none:
 
 A set of n shingles that reaches similarity 4/5 with another shares at least t = ceil(4n / 5) of its shingles. So if all shingles are
 put in one order, whichever it is, the first n - t + K of both sets have at least K in common (all of t, if that is less). Sets are listed
@@ -7,7 +11,7 @@ their whole sets. The order puts shingles last that a sample of the texts has of
 with the texts, so that a shingle of long lists is known as frequent whatever their number.
 
 Pairs whose shingles per bucket of the hash space leave too small an overlap are dropped before whole sets are brought together; that bound is
-never below the true overlap. Pairs within a component cannot change it, so one pair per set is verified first and then only pairs across
+never below the true overlap. Pairs within a component cannot change it, so the candidates by fingerprint and one pair per set are verified first and then only pairs across
 the components found. Lists above `LIST_MOST` sets are first paired with their `PIVOTS` least sets only, each such pair with a full tally. Where
 the sets of such a list are then not all in one component, the pairs across components are compared within the list, by the bound and then by whole
 sets, until they are one or no pair is left. So the components are those of all similar pairs. Whole sets stand in such lists once for every list, so
@@ -31,6 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import discard, split_rows, stored
 from .components import components
 
@@ -110,7 +115,7 @@ def _prefix(x: np.ndarray, often: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def shingled(docs: DataFrame, width: int) -> DataFrame:
-    """(k, doc_id, node, n, sizes, prefix): node tells the set of shingles, sizes counts it by bucket, prefix lists it."""
+    """(k, doc_id, node, n, fp, sizes, prefix): node tells the set of shingles, fp is its fingerprint, sizes counts it by bucket, prefix lists it."""
     shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,13 +123,14 @@ def shingled(docs: DataFrame, width: int) -> DataFrame:
         for batch in split_rows(batches, "text"):
             sets = [shingles(t, width) for t in pc.fill_null(batch.column("text").cast(pa.binary()), b"").to_pylist()]
             node = [int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) for x in sets]
+            fp = np.array([simhash.fingerprint_of_hashes(x) for x in sets], np.uint64).view(np.int64)
             prefix = [_prefix(x, often, count) for x in sets]
             ends = np.concatenate([[0], np.cumsum([len(x) for x in prefix])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *prefix]).view(np.int64)))
-            columns = {"k": batch.column("k"), "doc_id": batch.column("doc_id"), "node": pa.array(node, pa.int64()), "n": pa.array([len(x) for x in sets], pa.int64())}
+            columns = {"k": batch.column("k"), "doc_id": batch.column("doc_id"), "node": pa.array(node, pa.int64()), "n": pa.array([len(x) for x in sets], pa.int64()), "fp": pa.array(fp)}
             yield pa.RecordBatch.from_pydict(columns | {"sizes": pa.array(map(_bucket_sizes, sets), pa.binary()), "prefix": lists})
 
-    return docs.select("k", "doc_id", "text").mapInArrow(run, "k string, doc_id bigint, node bigint, n bigint, sizes binary, prefix array<bigint>")
+    return docs.select("k", "doc_id", "text").mapInArrow(run, "k string, doc_id bigint, node bigint, n bigint, fp bigint, sizes binary, prefix array<bigint>")
 
 
 def _lists(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
@@ -241,6 +247,16 @@ def _whole(nodes: DataFrame, docs: DataFrame, rows: DataFrame, width: int) -> Da
     return stored(_sets(texts, width, "node"), "shingle-sets")
 
 
+def _by_fingerprint(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) that connect the sets whose fingerprints are equal or linked, not all pairs of them."""
+    distinct = stored(sets.groupBy("fp").agg(F.min("node").alias("rep")), "simhash-distinct")
+    equal = sets.select("node", "fp").join(distinct.select(F.col("fp").alias("_fp"), "rep"), F.col("fp") == F.col("_fp")).where("node <> rep")
+    pairs = equal.select(F.col("rep").alias("a"), F.col("node").alias("b")).union(simhash.link(distinct).select(F.least("a", "b"), F.greatest("a", "b")))
+    out = stored(pairs.distinct(), "simhash-pairs")
+    discard(distinct)
+    return out
+
+
 def _across_components(pairs: DataFrame, near: DataFrame) -> DataFrame:
     """The pairs whose sides are not known to be in one component."""
     of = lambda s: near.select(F.col("node").alias(f"_n{s}"), F.col("component").alias(f"_c{s}"))
@@ -289,20 +305,21 @@ def _compared(open_: DataFrame, docs: DataFrame, rows: DataFrame, sets: DataFram
 
 
 def groups(docs: DataFrame, rows: DataFrame, sets: DataFrame, width: int) -> DataFrame:
-    """(node, component) of the sets that are similar to another one; docs has (k, text), rows (k, node), sets (node, n, sizes, prefix)."""
+    """(node, component) of the sets that are similar to another one; docs has (k, text), rows (k, node), sets (node, n, fp, sizes, prefix)."""
+    near_bits = _by_fingerprint(sets)
     listed = sets.select(F.explode("prefix").alias("h"), "node", "n")
     found = stored(listed.repartition("h").sortWithinPartitions("h", "node").mapInArrow(_paired(LIST_MOST, PIVOTS), "a bigint, b bigint, c tinyint, long boolean"), "shingle-lists")
     sizes = sets.select("node", "n", "sizes")
     tallied = stored(found.where("not long").groupBy("a", "b").agg(F.sum("c").alias("c")).where(F.col("c") >= K), "shingle-pairs")
     pairs = stored(bounded(tallied, sizes), "shingle-bounded")
     discard(tallied)
-    whole = _whole(pairs.select(F.explode(F.array("a", "b")).alias("_n")), docs, rows, width)
+    whole = _whole(near_bits.union(pairs).select(F.explode(F.array("a", "b")).alias("_n")), docs, rows, width)
     first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    some = verified(first, whole)
+    some = verified(near_bits.union(first).distinct(), whole)
     near = components(some)
     links = some.union(verified(_across_components(pairs, near), whole))
     near = components(links)
-    discard(whole)
+    discard(whole, near_bits)
     of = near.select(F.col("node").alias("_n"), "component")
     members = found.where("long").select(F.col("b").alias("h"), F.col("a").alias("node")).join(of, F.col("node") == F.col("_n"), "left")
     members = stored(members.select("h", "node", F.coalesce("component", "node").alias("component")), "shingle-members")
@@ -324,7 +341,7 @@ def one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:
     key = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.coalesce(F.col("text"), F.lit(""))))
     keyed = docs.select(key.alias("k"), "doc_id", "text")
     made = stored(shingled(keyed, width), "shingles")
-    sets = stored(made.select("node", "n", "sizes", "prefix").dropDuplicates(["node"]), "shingle-prefixes")
+    sets = stored(made.select("node", "n", "fp", "sizes", "prefix").dropDuplicates(["node"]), "shingle-prefixes")
     rows = stored(made.select("k", "doc_id", "node"), "shingle-rows")
     discard(made)
     near = groups(keyed, rows, sets, width)

@@ -68,6 +68,15 @@ def fingerprint(text: bytes, width: int = 3) -> int:
     return int(np.packbits(counts * 2 > total, bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint_of_hashes(hashes: np.ndarray) -> int:
+    """The 64-bit SimHash of shingles given by their hashes."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), BLOCK_WORDS):
+        part = np.ascontiguousarray(hashes[at : at + BLOCK_WORDS])
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     """(doc_id, fp): fp holds the 64 bits as a signed long."""
 

@@ -84,3 +84,33 @@ def test_long_lists_in_portions(spark, monkeypatch):
     got = shingle_join.one_of_each(spark.createDataFrame(rows, DOC)).collect()
     assert sorted((str(r["doc_id"]), str(r["text"])) for r in got) == kept_by_brute_force(rows)
     assert len(tables[0]) > 1
+
+
+def test_near_copies_are_found_by_fingerprints(spark, monkeypatch):
+    import corpus_pipeline
+    from ledgerloom.llm import simhash
+
+    monkeypatch.setattr(shingle_join, "bounded", lambda pairs, sizes: pairs.select("a", "b").limit(0))  # nothing from the index of shingles
+    text = invented(3, 3000)
+    near = changed(text, 1, 5)
+    a, b = (simhash.fingerprint_of_hashes(shingle_join.shingles(t.encode(), 5)) for t in (text, near))
+    assert 0 < (a ^ b).bit_count() <= 3
+    rows = [(1, text, "en", "a", 1), (2, near, "en", "a", 1), (3, invented(4, 3000), "en", "a", 1), (4, text.upper(), "en", "a", 1)]
+    assert sorted(r["doc_id"] for r in corpus_pipeline.simhash_near_dedup(spark, spark.createDataFrame(rows, DOC), "").collect()) == [1, 3]
+
+
+def test_candidates_by_fingerprint_are_verified(spark, monkeypatch):
+    from ledgerloom.llm import simhash
+
+    every = lambda d: d.select(F.col("rep").alias("a")).crossJoin(d.select(F.col("rep").alias("b"))).where("a < b")
+    monkeypatch.setattr(simhash, "link", every)
+    rows = [(10 * i + j, changed(invented(700 + i, 200), 3 * j, 50 * i + j), "en", "a", 1) for i in range(4) for j in range(5)]
+    got = shingle_join.one_of_each(spark.createDataFrame(rows, DOC)).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in got) == kept_by_brute_force(rows)
+
+
+def test_fingerprints_of_hashes_equal_those_of_texts():
+    from ledgerloom.llm import simhash
+
+    for text in ("", "one", "a b c d e f g", invented(8, 700)):  # no shingle twice
+        assert simhash.fingerprint_of_hashes(shingle_join.shingles(text.encode(), 5)) == simhash.fingerprint(text.encode(), 5)
