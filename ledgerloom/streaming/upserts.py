@@ -125,9 +125,9 @@ class Progress(StreamingQueryListener):
 def stop_gracefully(query, seconds: float = 60.0) -> bool:
     """Let the batch that runs finish, then stop; whether it did in time. A query that is stopped resumes from its checkpoint."""
     deadline = time.monotonic() + seconds
-    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < deadline:
+    # One idle look is the answer: a query without new data is active again for a moment whenever it polls its source.
+    while not (finished := not query.isActive or not query.status["isTriggerActive"]) and time.monotonic() < deadline:
         time.sleep(0.1)
-    finished = not query.status["isTriggerActive"]
     query.stop()
     return finished
 

@@ -221,6 +221,27 @@ def test_streams_report_and_stop(spark, tmp_path):
     assert good.count() == 2 and seen.get == {"kept": 2, "skipped": 1}
 
 
+def test_stop_gracefully_looks_once():
+    from ledgerloom.streaming import upserts
+
+    class Query:
+        isActive = True
+
+        def __init__(self, *active):
+            self.active, self.stopped = list(active), 0
+
+        @property
+        def status(self):
+            return {"isTriggerActive": self.active.pop(0) if len(self.active) > 1 else self.active[0]}
+
+        def stop(self):
+            self.stopped += 1
+
+    polls, busy = Query(True, False, True), Query(True)  # idle once and then polling its source; a batch that never ends
+    assert upserts.stop_gracefully(polls, 5) and polls.stopped == 1
+    assert not upserts.stop_gracefully(busy, 0.3) and busy.stopped == 1
+
+
 def test_relative_times(spark):
     from ledgerloom.functions import identifiers, text
 
