@@ -36,8 +36,8 @@ def candidates_explicit_year(spark, d):
     orders = table(spark, d, "orders").where("o_orderkey % 1000 < 10")
     asked = orders.select(F.col("o_orderkey").alias("query"), F.lit("title").alias("field"), F.col("o_orderpriority").alias("token"), F.year("o_orderdate").alias("year"), "o_orderkey")
     index = table(spark, d, "customer").select(F.lit("title").alias("field"), F.explode(F.array(F.lit("1-URGENT"), F.lit("3-MEDIUM"))).alias("token"), (1995 + F.col("c_custkey") % 6).cast("int").alias("year"), "c_custkey")
-    found = retrieval.candidates_around(asked, index, F.when(F.col("o_orderkey") % 5 > 0, F.col("year") + 1), 1)
-    return found.groupBy(F.col("query").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("candidates"))
+    found = retrieval.candidate_counts(asked, index, F.when(F.col("o_orderkey") % 5 > 0, F.col("year") + 1), 1)
+    return found.select(F.col("query").alias("o_orderkey"), "candidates")
 
 
 # Evidence -------------------------------------------------------------------------------------------------------------------------

@@ -1,5 +1,6 @@
 import math
 import os
+import random
 
 import duckdb
 import pytest
@@ -38,6 +39,21 @@ def test_candidates_within_years(spark):
     assert {r["uuid"] for r in retrieval.candidates(q, index).collect()} == {"u1950"}
 
 
+def test_candidate_counts_without_pairs(spark, tmp_path, monkeypatch):
+    """Equal to counting the pairs, and what is joined does not grow with queries times keys."""
+    rng = random.Random(5)
+    q = spark.createDataFrame([(k, "title", t, rng.choice([None, 1950, 1951, 1953])) for k in range(60) for t in rng.sample("abcde", rng.randint(1, 3))], "query int, field string, token string, year int")
+    index = spark.createDataFrame([("title", t, 1949 + u % 4, u) for u in range(200) for t in rng.sample("bcdef", rng.randint(1, 2)) * 2], "field string, token string, year int, uuid int")
+    want = retrieval.candidates_around(q, index, F.col("year"), 1).groupBy("query").count()
+    assert sorted(map(tuple, retrieval.candidate_counts(q, index, F.col("year"), 1).collect())) == sorted(map(tuple, want.collect()))
+    made, plain = [], retrieval.candidates
+    monkeypatch.setattr(retrieval, "candidates", lambda *a: made.append(plain(*a)) or made[-1])
+    spark.range(20000).selectExpr("id as o_orderkey", "'1-URGENT' as o_orderpriority", "timestamp '1996-05-01' as o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(60).selectExpr("id as c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    rows = plans.QUERIES["candidates_explicit_year"](spark, str(tmp_path)).collect()
+    assert {r["candidates"] for r in rows} == {30} and all(df.count() <= 6 for df in made)
+
+
 def test_platt_values(spark):
     rows = spark.createDataFrame([(50.0, 0.4525), (60.0, 0.7630), (70.0, 0.9261), (80.0, 0.9799), (90.0, 0.9948)], "raw double, want double")
     for r in rows.withColumn("p", scoring.platt(F.col("raw"), -0.135969, 6.989077)).collect():
