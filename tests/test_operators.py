@@ -52,6 +52,7 @@ def test_candidate_counts_without_pairs(spark, tmp_path, monkeypatch):
     spark.range(60).selectExpr("id as c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
     rows = plans.QUERIES["candidates_explicit_year"](spark, str(tmp_path)).collect()
     assert {r["candidates"] for r in rows} == {30} and all(df.count() <= 6 for df in made)
+    assert {r["o_orderkey"] for r in rows} == {k for k in range(20000) if k % 5}  # every order that has a year, not a share of them
 
 
 def test_platt_values(spark):
