@@ -55,6 +55,33 @@ def test_candidate_counts_without_pairs(spark, tmp_path, monkeypatch):
     assert {r["o_orderkey"] for r in rows} == {k for k in range(20000) if k % 5}  # every order that has a year, not a share of them
 
 
+def test_overlap_joins_no_tokens_of_records_by_pair(spark):
+    """As counted by hand, also with a null key; the tokens of the records are laid out once, and nothing is joined by record."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(30)]
+    records = {k: rng.sample(words[: rng.choice([3, 30])], 3) for k in range(80)}
+    asked = {k: rng.sample(words + ["never"], 4) for k in range(9)}
+    schema = "tokens array<string>"
+    rows = spark.createDataFrame([*((k, v) for k, v in records.items()), (None, ["w0", "w29"]), (99, [])], f"doc int, {schema}")
+    out = retrieval.weighted_overlap(spark.createDataFrame(list(asked.items()), f"item int, {schema}"), rows, "item", "doc", 0.2)
+    n, every = 82, [*records.values(), ["w0", "w29"]]
+    df = {w: sum(w in v for v in every) for w in words}
+    weight = lambda w: math.log((n + 1) / (df[w] + 1)) + 1 if df.get(w) else math.log(n + 1) + 1
+    want = {}
+    for i, ask in asked.items():
+        known = [w for w in ask if df.get(w)]
+        rare = [w for w in known if df[w] <= 0.2 * n] or known
+        for k, v in records.items():
+            if set(rare) & set(v):
+                both = set(ask) & set(v)
+                want[i, k] = (sum(map(weight, both)), sum(map(weight, ask)), sum(map(weight, v)), len(both), max(map(weight, both)))
+    got = {(r["item"], r["doc"]): (r["shared"], r["mass_a"], r["mass_b"], r["k"], r["best"]) for r in out.collect()}
+    assert got.keys() == want.keys() and all(got[p] == pytest.approx(want[p]) for p in want)
+    assert {(r["item"], r["doc"]) for r in retrieval.overlap_candidates(spark.createDataFrame(list(asked.items()), f"item int, {schema}"), rows, "item", "doc", 0.2).collect()} == set(want)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Join Inner" in line and "(doc#" in line for line in plan.splitlines())
+
+
 def test_platt_values(spark):
     rows = spark.createDataFrame([(50.0, 0.4525), (60.0, 0.7630), (70.0, 0.9261), (80.0, 0.9799), (90.0, 0.9948)], "raw double, want double")
     for r in rows.withColumn("p", scoring.platt(F.col("raw"), -0.135969, 6.989077)).collect():
