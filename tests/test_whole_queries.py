@@ -25,6 +25,24 @@ def test_best_window_equals_all_windows():
         assert abs(similarity.best_window(short, long_, idf, 10.0) - want) < 1e-9
 
 
+def test_exact_windows_equal_one_by_one():
+    rng = random.Random(6)
+    for _ in range(80):
+        words = [rng.choice("abcdefghijklmnop") for _ in range(rng.randint(0, 40))]
+        others = [[rng.choice("abcdefghijklmnopqrstuvw") for _ in range(rng.randint(0, 25))] for _ in range(8)]
+        assert similarity.exact_windows(words, others) == [similarity.exact_window(o, words) for o in others]
+
+
+def test_sliding_window_has_no_text_in_a_pair(spark, tmp_path):
+    """No join by passage or pair has the words of a document beside it."""
+    spark.createDataFrame([(i, f"alpha{i} beta{i} gamma") for i in range(5)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(5, "en", "x alpha1 beta1 gamma y z alpha2 q r"), (6, "en", "alpha3 alpha4")], "doc_id bigint, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    df = queries.QUERIES["title_sliding_window"](spark, str(tmp_path))
+    assert sorted(map(tuple, df.collect())) == [(0, 5, 20.0), (1, 5, 100.0), (2, 5, 20.0), (3, 5, 20.0), (4, 5, 20.0)]
+    sorts = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(item_id" in line]
+    assert not any("doc_id" in line and "text" in line for line in sorts)
+
+
 def test_fuzzy_title_score_reads_words_after_the_twelfth(spark, tmp_path, monkeypatch):
     passage = " ".join(f"passage{i}" for i in range(14))
     filler = " ".join(f"filler{i}" for i in range(20))
