@@ -293,3 +293,11 @@ def test_relative_times(spark):
     got = [r[0] for r in rows.select(text.relative_time(F.col("t").cast("timestamp"), F.lit("2026-01-01 12:00:00").cast("timestamp"))).collect()]
     assert got == ["just now", "3m ago", "5h ago", "2d ago", "4w ago"]
     assert rows.select(identifiers.lccn_url(F.lit("50001234")), identifiers.oclc_url(F.lit(""))).first()[1] is None
+
+
+def test_platt_fit_reads_its_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda x: read.add(1) or x, "double").asNondeterministic()
+    rows = spark.createDataFrame([(float(x), int(x + (x * 7) % 5 > 50)) for x in range(100)] * 2, "raw double, label int")
+    fit = learned.platt_fit(rows.withColumn("raw", seen("raw"))).first()
+    assert read.value == 200 and fit["a"] < 0
